@@ -12,11 +12,12 @@ every query that does not use its columns.
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from suturestar.functions.timekeys import date_key, time_key
 from suturestar.plans import dims
 from suturestar.plans.star import Star
 from suturestar.schemas import UNKNOWN_KEY
@@ -26,212 +27,186 @@ LOAD_TIME = datetime(2001, 8, 1, 12, 0, 0)
 SPINE_START = date(1995, 1, 1)
 SPINE_DAYS = 3653
 
+# The mapping, as SQL expressions over the driver's columns.
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _cents(c: str) -> Column:
-    return F.round(F.col(c) * 100).cast("int")
-
-
-def _percent_steps(total: str, n: str, scale: int) -> Column:
-    return F.floor(F.col(total) * scale / F.col(n))
-
-
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem reduced to one row per order."""
-    return (
-        read(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(
-            F.min("l_suppkey").alias("robot"),
-            F.min("l_partkey").alias("part"),
-            F.sum(F.col("l_quantity").cast("int")).alias("minutes"),
-            F.sum(_cents("l_discount")).alias("discount"),
-            F.sum(_cents("l_tax")).alias("tax"),
-            F.count(F.lit(1)).alias("lines"),
-            F.min("l_returnflag").alias("low_flag"),
-            F.max("l_returnflag").alias("high_flag"),
-            F.max("l_linestatus").alias("high_status"),
-            F.max(_cents("l_tax")).alias("high_tax"),
-            F.max("l_linenumber").alias("high_line"),
-        )
-    )
-
-
-def start_time() -> Column:
-    """Orders are dated at midnight; the price gives the minute of the day."""
-    minute = F.pmod(F.floor("o_totalprice"), F.lit(1440)).cast("int")
-    return F.col("o_orderdate") + F.make_dt_interval(mins=minute)
-
-
-def procedure_status() -> Column:
-    s = F.col("o_orderstatus")
-    return F.when(s == "F", "completed").when(s == "O", "in_progress").otherwise("aborted")
-
-
-def duration() -> Column:
-    return F.col("minutes").cast("int")
-
+# Orders are dated at midnight; the price gives the minute of the day.
+START_TIME = "o_orderdate + make_dt_interval(0, 0, cast(pmod(floor(o_totalprice), 1440) as int))"
+END_TIME = f"{START_TIME} + make_dt_interval(0, 0, cast(minutes as int))"
+STATUS = "case o_orderstatus when 'F' then 'completed' when 'O' then 'in_progress' else 'aborted' end"
+# 10 to 50.
+COMPLEXITY_TENTHS = "cast(10 + floor(discount * 4 / lines) as int)"
+# Shared by the customers of one segment and nation, so there are namesakes.
+SURGEON_NAME = "concat_ws(' ', 'Dr.', c_mktsegment, cast(c_nationkey as string))"
+YEARS_EXPERIENCE = "case when c_acctbal < 9800 then cast(floor((c_acctbal + 1000) / 500) as int) end"
+PROCEDURE_TYPE = "coalesce(concat('Type-', cast(pmod(size, 8) as string)), 'UNKNOWN')"
+GENDER = "case pmod(size, 3) when 0 then 'Female' when 1 then 'Male' when 2 then 'Other' end"
+METRIC = "try_cast(get_json_object(props, '$.k') as int)"
 
-def complexity_tenths() -> Column:
-    """10 to 50."""
-    return (F.lit(10) + _percent_steps("discount", "lines", 4)).cast("int")
 
+def robot_id(key: str) -> str:
+    return f"concat('RBT-', lpad(cast({key} as string), 9, '0'))"
 
-def robot_id(key: Column) -> Column:
-    return F.concat(F.lit("RBT-"), F.lpad(key.cast("string"), 9, "0"))
 
+def facility_id(key: str) -> str:
+    return f"concat('FAC-', lpad(cast({key} as string), 3, '0'))"
 
-def facility_id(key: Column) -> Column:
-    return F.concat(F.lit("FAC-"), F.lpad(key.cast("string"), 3, "0"))
 
+def procedure_id(key: str) -> str:
+    return f"concat('PROC-', cast({key} as string))"
 
-def procedure_id(key: Column) -> Column:
-    return F.concat(F.lit("PROC-"), key.cast("string"))
 
+def date_key(time: str) -> str:
+    return f"cast(year({time}) * 10000 + month({time}) * 100 + day({time}) as int)"
 
-def surgeon_name() -> Column:
-    """Shared by the customers of one segment and nation, so there are namesakes."""
-    return F.concat_ws(" ", F.lit("Dr."), "c_mktsegment", F.col("c_nationkey").cast("string"))
 
+def time_key(time: str) -> str:
+    return f"cast(hour({time}) * 10000 + minute({time}) * 100 as int)"
 
-def years_experience() -> Column:
-    return F.floor((F.col("c_acctbal") + 1000) / 500).cast("int")
 
+@lru_cache(maxsize=256)
+def _schema(spark: SparkSession, path: str) -> StructType:
+    return spark.read.parquet(path).schema
 
-def robot_model(key: Column) -> Column:
-    return F.concat(F.lit("Model-"), F.pmod(key, F.lit(7)).cast("string"))
-
-
-def manufacturer(key: Column) -> Column:
-    return F.concat(F.lit("Maker-"), F.pmod(key, F.lit(3)).cast("string"))
 
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
-def gender(size: Column) -> Column:
-    k = F.pmod(size, F.lit(3))
-    return F.when(k == 0, "Female").when(k == 1, "Male").when(k == 2, "Other")
 
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem reduced to one row per order.
 
-def metric(name: str = "k") -> Column:
-    return F.get_json_object("props", f"$.{name}").try_cast("int")
+    Flags are aggregated as booleans, not text: text extremes would make Spark sort instead of hash.
+    """
+    return (
+        read(spark, sf_dir, "lineitem")
+        .groupBy("l_orderkey")
+        .agg(
+            F.expr("min(l_suppkey) as robot"),
+            F.expr("min(l_partkey) as part"),
+            F.expr("sum(cast(l_quantity as int)) as minutes"),
+            F.expr("sum(cast(round(l_discount * 100) as int)) as discount"),
+            F.expr("sum(cast(round(l_tax * 100) as int)) as tax"),
+            F.expr("count(*) as lines"),
+            F.expr("min(l_returnflag = 'R') as all_r"),
+            F.expr("max(l_returnflag = 'R') as any_r"),
+            F.expr("max(l_returnflag = 'N') as any_n"),
+            F.expr("max(l_linestatus = 'O') as any_open"),
+            F.expr("max(cast(round(l_tax * 100) as int)) as high_tax"),
+            F.expr("max(l_linenumber) as high_line"),
+        )
+    )
 
 
 def dim_robots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("s_suppkey")
-    return read(spark, sf_dir, "supplier").select(
-        k.alias("robot_key"),
-        robot_id(k).alias("robot_id"),
-        F.col("s_name").alias("robot_serial_number"),
-        robot_model(k).alias("robot_model"),
-        manufacturer(k).alias("manufacturer"),
-        F.col("s_nationkey").alias("facility_key"),
-        F.when(F.col("s_acctbal") >= 1000, "operational").otherwise("maintenance").alias("status"),
-        (F.col("s_acctbal") >= 0).alias("is_current"),
+    return read(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey as robot_key",
+        f"{robot_id('s_suppkey')} as robot_id",
+        "s_name as robot_serial_number",
+        "concat('Model-', cast(pmod(s_suppkey, 7) as string)) as robot_model",
+        "concat('Maker-', cast(pmod(s_suppkey, 3) as string)) as manufacturer",
+        "s_nationkey as facility_key",
+        "case when s_acctbal >= 1000 then 'operational' else 'maintenance' end as status",
+        "s_acctbal >= 0 as is_current",
     )
 
 
 def dim_facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("n_nationkey")
     nation, region = read(spark, sf_dir, "nation"), read(spark, sf_dir, "region")
-    kind = F.when(F.pmod(k, F.lit(3)) == 0, "Teaching Hospital").when(F.pmod(k, F.lit(3)) == 1, "Private Hospital")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        k.alias("facility_key"),
-        facility_id(k).alias("facility_id"),
-        F.col("n_name").alias("facility_name"),
-        F.concat(F.lit("City of "), "n_name").alias("city"),
-        F.col("r_name").alias("state"),
-        F.lit("USA").alias("country"),
-        kind.otherwise("Regional Hospital").alias("facility_type"),
-        (F.pmod(k, F.lit(8)) != 7).alias("is_current"),
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
+        "n_nationkey as facility_key",
+        f"{facility_id('n_nationkey')} as facility_id",
+        "n_name as facility_name",
+        "concat('City of ', n_name) as city",
+        "r_name as state",
+        "'USA' as country",
+        "case pmod(n_nationkey, 3) when 0 then 'Teaching Hospital' when 1 then 'Private Hospital' "
+        "else 'Regional Hospital' end as facility_type",
+        "pmod(n_nationkey, 8) <> 7 as is_current",
     )
 
 
 def dim_surgeons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("surgeon_key"),
-        F.col("c_name").alias("surgeon_id"),
-        surgeon_name().alias("surgeon_name"),
-        F.col("c_mktsegment").alias("specialization"),
-        F.when(F.col("c_acctbal") < 9800, years_experience()).alias("years_experience"),
-        (F.col("c_acctbal") >= 0).alias("is_current"),
+    return read(spark, sf_dir, "customer").selectExpr(
+        "c_custkey as surgeon_key",
+        "c_name as surgeon_id",
+        f"{SURGEON_NAME} as surgeon_name",
+        "c_mktsegment as specialization",
+        f"{YEARS_EXPERIENCE} as years_experience",
+        "c_acctbal >= 0 as is_current",
     )
 
 
-def fact_procedures(spark: SparkSession, sf_dir: str, since: date | None = None) -> DataFrame:
+def orders(spark: SparkSession, sf_dir: str, since: date | None = None) -> DataFrame:
     """`since` bounds the order date, so it reaches the scan."""
-    orders = read(spark, sf_dir, "orders")
-    if since is not None:
-        orders = orders.filter(F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
-    homes = read(spark, sf_dir, "supplier").groupBy("s_suppkey").agg(F.min("s_nationkey").alias("home"))
-    parts = read(spark, sf_dir, "part").groupBy("p_partkey").agg(
-        F.min(F.struct("p_type", "p_size")).alias("p")
-    )
-    lines = order_lines(spark, sf_dir)
-    o = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
-    o = o.join(homes, o.robot == homes.s_suppkey, "left")
-    o = o.join(parts, o.part == parts.p_partkey, "left")
-    start, end = start_time(), start_time() + F.make_dt_interval(mins=duration())
-    flag = F.col("high_flag")
-    level = (
-        F.when(flag == "A", "None")
-        .when(flag == "N", "Minor")
-        .when((flag == "R") & (F.col("low_flag") == "R"), "Severe")
-        .when(flag == "R", "Moderate")
-    )
-    success = F.when(F.col("high_status") == "F", "Successful").when(F.col("high_status") == "O", "Complicated")
-    return o.select(
-        F.col("o_orderkey").alias("procedure_key"),
-        procedure_id(F.col("o_orderkey")).alias("procedure_id"),
-        F.coalesce("robot", F.lit(UNKNOWN_KEY)).alias("robot_key"),
-        F.col("o_custkey").alias("surgeon_key"),
-        F.coalesce("home", F.lit(UNKNOWN_KEY)).alias("facility_key"),
-        date_key(F.col("o_orderdate")).alias("start_date_key"),
-        time_key(start).alias("start_time_key"),
-        date_key(end).alias("end_date_key"),
-        time_key(end).alias("end_time_key"),
-        F.coalesce("p.p_type", F.lit("UNKNOWN")).alias("procedure_type"),
-        F.col("o_orderpriority").alias("procedure_category"),
-        F.concat(F.lit("PAT-"), F.col("o_custkey").cast("string")).alias("patient_id"),
-        (F.col("p.p_size") * 2).alias("patient_age"),
-        gender(F.col("p.p_size")).alias("patient_gender"),
-        duration().alias("duration_minutes"),
-        (complexity_tenths() / 10).cast("decimal(3,1)").alias("complexity_score"),
-        success.alias("success_status"),
-        (F.col("tax") * 10).cast("int").alias("blood_loss_ml"),
-        level.alias("complication_level"),
-        F.col("lines").cast("int").alias("hospital_stay_days"),
-        (F.col("high_line") + 2).cast("decimal(3,1)").alias("patient_satisfaction_score"),
-        (F.col("high_tax") >= 8).alias("readmission_30day"),
-        procedure_status().alias("status"),
+    df = read(spark, sf_dir, "orders")
+    return df if since is None else df.filter(f"o_orderdate >= timestamp_ntz '{since} 00:00:00'")
+
+
+def fact_procedures(spark: SparkSession, sf_dir: str, since: date | None = None) -> DataFrame:
+    homes = read(spark, sf_dir, "supplier").groupBy("s_suppkey").agg(F.expr("min(s_nationkey) as home"))
+    parts = read(spark, sf_dir, "part").groupBy("p_partkey").agg(F.expr("min(p_size) as size"))
+    return (
+        orders(spark, sf_dir, since)
+        .join(order_lines(spark, sf_dir), F.expr("o_orderkey = l_orderkey"), "left")
+        .join(homes, F.expr("robot = s_suppkey"), "left")
+        .join(parts, F.expr("part = p_partkey"), "left")
+        .selectExpr(
+            "o_orderkey as procedure_key",
+            f"{procedure_id('o_orderkey')} as procedure_id",
+            f"coalesce(robot, {UNKNOWN_KEY}) as robot_key",
+            "o_custkey as surgeon_key",
+            f"coalesce(home, {UNKNOWN_KEY}) as facility_key",
+            f"{date_key('o_orderdate')} as start_date_key",
+            f"{time_key(START_TIME)} as start_time_key",
+            f"{date_key(END_TIME)} as end_date_key",
+            f"{time_key(END_TIME)} as end_time_key",
+            f"{PROCEDURE_TYPE} as procedure_type",
+            "o_orderpriority as procedure_category",
+            "concat('PAT-', cast(o_custkey as string)) as patient_id",
+            "size * 2 as patient_age",
+            f"{GENDER} as patient_gender",
+            "cast(minutes as int) as duration_minutes",
+            f"cast({COMPLEXITY_TENTHS} / 10 as decimal(3,1)) as complexity_score",
+            "case when any_open then 'Complicated' when not any_open then 'Successful' end as success_status",
+            "cast(tax * 10 as int) as blood_loss_ml",
+            "case when all_r then 'Severe' when any_r then 'Moderate' when any_n then 'Minor' "
+            "when lines is not null then 'None' end as complication_level",
+            "cast(lines as int) as hospital_stay_days",
+            "cast(high_line + 2 as decimal(3,1)) as patient_satisfaction_score",
+            "high_tax >= 8 as readmission_30day",
+            f"{STATUS} as status",
+        )
     )
 
 
 def fact_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events: the user id is the procedure's key, the value a temperature, `props.k` the other metrics."""
-    k = metric()
-    return read(spark, sf_dir, "events").select(
-        F.col("event_id").alias("telemetry_key"),
-        F.col("user_id").alias("procedure_key"),
-        time_key(F.col("ts")).alias("timestamp_key"),
-        F.col("ts").alias("sample_timestamp"),
-        F.col("event_type").alias("tool_type"),
-        (k >= 50).alias("tool_active"),
-        F.col("value").cast("decimal(5,2)").alias("system_temperature"),
-        (F.col("value") / 100).cast("decimal(8,4)").alias("motor_current"),
-        (k + 10).alias("network_latency_ms"),
-        (F.lit(70) - F.floor(k / 2)).cast("int").alias("video_fps"),
+    return (
+        read(spark, sf_dir, "events")
+        .withColumn("k", F.expr(METRIC))
+        .selectExpr(
+            "event_id as telemetry_key",
+            "user_id as procedure_key",
+            f"{time_key('ts')} as timestamp_key",
+            "ts as sample_timestamp",
+            "event_type as tool_type",
+            "k >= 50 as tool_active",
+            "cast(value as decimal(5,2)) as system_temperature",
+            "cast(value / 100 as decimal(8,4)) as motor_current",
+            "k + 10 as network_latency_ms",
+            "cast(70 - floor(k / 2) as int) as video_fps",
+        )
     )
 
 
 def star(spark: SparkSession, sf_dir: str, since: date | None = None) -> Star:
     return Star(
-        dim_date=dims.date_spine(spark, SPINE_START, SPINE_DAYS),
-        dim_time=dims.time_spine(spark),
-        dim_facilities=dim_facilities(spark, sf_dir),
-        dim_surgeons=dim_surgeons(spark, sf_dir),
-        dim_robots=dim_robots(spark, sf_dir),
-        fact_procedures=fact_procedures(spark, sf_dir, since),
-        fact_procedure_telemetry=fact_telemetry(spark, sf_dir),
+        dim_date=lambda: dims.date_spine(spark, SPINE_START, SPINE_DAYS),
+        dim_time=lambda: dims.time_spine(spark),
+        dim_facilities=lambda: dim_facilities(spark, sf_dir),
+        dim_surgeons=lambda: dim_surgeons(spark, sf_dir),
+        dim_robots=lambda: dim_robots(spark, sf_dir),
+        fact_procedures=lambda: fact_procedures(spark, sf_dir, since),
+        fact_procedure_telemetry=lambda: fact_telemetry(spark, sf_dir),
     )

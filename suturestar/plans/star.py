@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,23 +18,34 @@ TABLES = (
     "fact_procedure_telemetry",
 )
 
+Table = DataFrame | Callable[[], DataFrame]
+
 
-@dataclass(frozen=True)
 class Star:
-    """Five dimensions and two facts.
+    """Five dimensions and two facts, each given as a DataFrame or as a function that builds it on first use.
 
     Contract, as the primary keys of the model declare it: `*_key` is unique within its table.  Views
     rely on it where they count rows instead of distinct procedure keys; `quality.unique_violations`
     checks it.
     """
 
-    dim_date: DataFrame
-    dim_time: DataFrame
-    dim_facilities: DataFrame
-    dim_surgeons: DataFrame
-    dim_robots: DataFrame
-    fact_procedures: DataFrame
-    fact_procedure_telemetry: DataFrame
+    def __init__(self, **tables: Table) -> None:
+        unknown = set(tables) - set(TABLES)
+        if unknown:
+            raise ValueError(f"not star tables: {sorted(unknown)}")
+        self._tables = tables
+
+    def _get(self, name: str) -> DataFrame:
+        table = self._tables[name]
+        return table if isinstance(table, DataFrame) else table()
+
+    dim_date = cached_property(lambda self: self._get("dim_date"))
+    dim_time = cached_property(lambda self: self._get("dim_time"))
+    dim_facilities = cached_property(lambda self: self._get("dim_facilities"))
+    dim_surgeons = cached_property(lambda self: self._get("dim_surgeons"))
+    dim_robots = cached_property(lambda self: self._get("dim_robots"))
+    fact_procedures = cached_property(lambda self: self._get("fact_procedures"))
+    fact_procedure_telemetry = cached_property(lambda self: self._get("fact_procedure_telemetry"))
 
     def current(self, dim: str) -> DataFrame:
         return getattr(self, dim).filter("is_current")
@@ -43,5 +55,5 @@ class Star:
 
     def register(self, spark: SparkSession) -> None:
         """Temp views under the tables' own names, for callers who write SQL."""
-        for name in TABLES:
+        for name in self._tables:
             getattr(self, name).createOrReplaceTempView(name)
