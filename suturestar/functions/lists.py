@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def items(c: Column, sep: str) -> Column:
     """Array of trimmed, non-empty items; NULL text stays NULL."""
-    parts = F.transform(F.split(c, "\\Q" + sep.strip() + "\\E"), F.trim)
+    parts = F.transform(F.split(c, "\\Q" + sep.strip() + "\\E"), lambda x: F.trim(x))
     return F.filter(parts, lambda x: x != "")
 
 

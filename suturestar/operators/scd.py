@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from suturestar.operators.keys import add_keys, next_key
@@ -20,11 +19,9 @@ def with_parent_key(snapshot: DataFrame, parent: DataFrame, on: str, parent_key:
     return snapshot.join(parent.filter("is_current").select(on, parent_key), on, "left")
 
 
-def differs(left: str, right: str, columns: Sequence[str]) -> Column:
-    """True when any column differs, NULL counted as a value."""
-    return reduce(
-        lambda a, b: a | b, [~F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns], F.lit(False)
-    )
+def differs(columns: Sequence[str]) -> str:
+    """SQL: `old` and `new` differ in some column, NULL counted as a value."""
+    return " or ".join(f"not (old.`{c}` <=> new.`{c}`)" for c in columns) or "false"
 
 
 def scd2_changes(
@@ -52,44 +49,42 @@ def scd2_changes(
     columns = current.columns
     attributes = [c for c in columns if c != key and c not in VERSION and c in snapshot.columns]
     fresh_columns = [*attributes, *(["effective_date"] if "effective_date" in snapshot.columns else [])]
-    types = {f.name: f.dataType for f in current.schema.fields}
+    types = {f.name: f.dataType.simpleString() for f in current.schema.fields}
 
     fresh = one_per_key(snapshot, [key], order)
     old = current.filter("is_current").select(key, F.struct(*columns).alias("old"))
     new = fresh.select(key, F.struct(*fresh_columns).alias("new"))
     pairs = old.join(new, key, "full_outer")
 
-    run_day = F.lit(as_of)
-    first_day = F.coalesce(F.col("new.effective_date"), run_day) if "effective_date" in fresh_columns else run_day
-
-    def row(label: str, **values: Column) -> Column:
-        parts = [
-            (values[c] if c in values else F.col(f"old.{c}")).cast(types[c]).alias(c) for c in columns
-        ]
-        return F.struct(*parts, F.lit(label).alias("change"))
-
-    from_new = {c: F.col(f"new.{c}") for c in attributes}
-    blank = {c: F.lit(None) for c in columns if c not in attributes and c not in VERSION and c != key}
-    open_end = {"expiration_date": F.lit(None), "is_current": F.lit(True)}
-    this_key = {key: F.col(key)}
-
-    kept_absent = row("absent")
-    kept_same = row("same")
-    first = row("new", **this_key, **from_new, **blank, **open_end, effective_date=first_day)
-    closed = row("closed", expiration_date=F.date_sub(run_day, 1), is_current=F.lit(False))
-    changed = row("changed", **this_key, **from_new, **blank, **open_end, effective_date=run_day)
+    run_day = f"date '{as_of.isoformat()}'"
+    first_day = f"coalesce(new.effective_date, {run_day})" if "effective_date" in fresh_columns else run_day
+
+    def row(label: str, **values: str) -> str:
+        """A struct of the dimension's columns: those given, the others from the old version."""
+        parts = [f"'{c}', cast({values.get(c, f'old.`{c}`')} as {types[c]})" for c in columns]
+        return f"named_struct({', '.join(parts)}, 'change', '{label}')"
+
+    from_new = {c: f"new.`{c}`" for c in attributes}
+    blank = {c: "null" for c in columns if c not in attributes and c not in VERSION and c != key}
+    fresh_row = {key: f"`{key}`", **from_new, **blank, "expiration_date": "null", "is_current": "true"}
+
+    absent, same = row("absent"), row("same")
+    first = row("new", **fresh_row, effective_date=first_day)
+    closed = row("closed", expiration_date=f"date_sub({run_day}, 1)", is_current="false")
+    changed = row("changed", **fresh_row, effective_date=run_day)
     amended = row("amended", **from_new)
 
-    is_changed = F.lit(True) if mode == "reference" else differs("old", "new", tracked)
-    rows = (
-        F.when(F.col("new").isNull(), F.array(kept_absent))
-        .when(F.col("old").isNull(), F.array(first))
-        .when(~is_changed, F.array(kept_same))
-        .when(F.col("old.effective_date") >= run_day, F.array(amended))
-        .otherwise(F.array(closed, changed))
+    is_changed = "true" if mode == "reference" else differs(tracked)
+    state = pairs.select(
+        F.expr(
+            f"""inline(case when new is null then array({absent})
+                when old is null then array({first})
+                when not ({is_changed}) then array({same})
+                when old.effective_date >= {run_day} then array({amended})
+                else array({closed}, {changed}) end)"""
+        )
     )
-    state = pairs.select(F.inline(rows))
-    history = current.filter(~F.col("is_current")).withColumn("change", F.lit("history"))
+    history = current.filter("not is_current").withColumn("change", F.lit("history"))
     return history.unionByName(state)
 
 

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from suturestar.functions.timekeys import time_key, wall_clock
 from suturestar.operators.rows import one_per_key
-from suturestar.schemas import TELEMETRY_STAGE_DDL
+from suturestar.schemas import TELEMETRY_STAGE
 
-STAGE_SCHEMA = StructType.fromDDL(TELEMETRY_STAGE_DDL)
-STAGE_COLUMNS = STAGE_SCHEMA.fieldNames()
+STAGE_COLUMNS = list(TELEMETRY_STAGE)
 
 # Texts of a JSON value that count as false: false, zero and empty values.
 FALSY = ("false", "0", "0.0", "-0", "-0.0", "", "[]", "{}", "null")
@@ -63,7 +61,7 @@ def flatten_telemetry(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         "video_fps": _first("system_metrics.video_fps", "video_fps"),
     }
     ok = tagged.filter(F.col("reason").isNull()).select(
-        *[sources[f.name].try_cast(f.dataType).alias(f.name) for f in STAGE_SCHEMA.fields]
+        *[sources[name].try_cast(kind).alias(name) for name, kind in TELEMETRY_STAGE.items()]
     )
     refused = tagged.filter(F.col("reason").isNotNull()).drop("sample_at__")
     return ok, refused

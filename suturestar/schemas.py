@@ -93,14 +93,28 @@ TELEMETRY_DOCUMENT_DDL = """
     system_temperature STRING, power_consumption STRING, motor_current STRING,
     network_latency_ms STRING, video_fps STRING, _corrupt STRING"""
 
-# Fixed order of the 18 staged telemetry columns and their types.
-TELEMETRY_STAGE_DDL = """
-    procedure_id STRING, timestamp_key INT, sample_timestamp TIMESTAMP_NTZ,
-    arm_position_x DECIMAL(10,4), arm_position_y DECIMAL(10,4), arm_position_z DECIMAL(10,4),
-    arm_rotation_x DECIMAL(10,4), arm_rotation_y DECIMAL(10,4), arm_rotation_z DECIMAL(10,4),
-    force_feedback DECIMAL(10,4), tool_type STRING, tool_active BOOLEAN, camera_zoom DECIMAL(5,2),
-    lighting_level INT, system_temperature DECIMAL(5,2), motor_current DECIMAL(8,4),
-    network_latency_ms INT, video_fps INT"""
+# The 18 staged telemetry columns in order, with their types.
+TELEMETRY_STAGE = {
+    "procedure_id": "string",
+    "timestamp_key": "int",
+    "sample_timestamp": "timestamp_ntz",
+    "arm_position_x": "decimal(10,4)",
+    "arm_position_y": "decimal(10,4)",
+    "arm_position_z": "decimal(10,4)",
+    "arm_rotation_x": "decimal(10,4)",
+    "arm_rotation_y": "decimal(10,4)",
+    "arm_rotation_z": "decimal(10,4)",
+    "force_feedback": "decimal(10,4)",
+    "tool_type": "string",
+    "tool_active": "boolean",
+    "camera_zoom": "decimal(5,2)",
+    "lighting_level": "int",
+    "system_temperature": "decimal(5,2)",
+    "motor_current": "decimal(8,4)",
+    "network_latency_ms": "int",
+    "video_fps": "int",
+}
+TELEMETRY_STAGE_DDL = ", ".join(f"{name} {kind}" for name, kind in TELEMETRY_STAGE.items())
 
 UNKNOWN_KEY = -1
 

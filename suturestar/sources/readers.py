@@ -18,26 +18,25 @@ def read_csv_table(spark: SparkSession, path: str, table: str) -> DataFrame:
         spark.read.schema(nullable(schema_of(table)))
         .option("header", True)
         .option("enforceSchema", False)
-        .option("timestampNTZFormat", "yyyy-MM-dd[ HH:mm:ss][.SSSSSS][.SSS]")
+        .option("timestampNTZFormat", "yyyy-MM-dd[ HH:mm:ss][.SSSSSS]")
         .csv(path)
     )
 
 
 def read_staged_csv(
-    spark: SparkSession, path: str, schema: StructType | str, timestamp_format: str | None = None
+    spark: SparkSession, path: str, schema: StructType | str, timestamp_format: str = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 ) -> DataFrame:
     """Pipe-delimited CSV without a header: quotes removed, empty fields NULL, ISO dates."""
-    reader = (
+    return (
         spark.read.schema(nullable(StructType.fromDDL(schema) if isinstance(schema, str) else schema))
         .option("sep", "|")
         .option("quote", '"')
         .option("escape", '"')
         .option("nullValue", "")
         .option("dateFormat", "yyyy-MM-dd")
+        .option("timestampNTZFormat", timestamp_format)
+        .csv(path)
     )
-    if timestamp_format:
-        reader = reader.option("timestampNTZFormat", timestamp_format)
-    return reader.csv(path)
 
 
 def read_operational(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:

@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 
 from suturestar.plans.telemetry import STAGE_COLUMNS
 
+# Keeps microseconds, which Spark's own default drops.
+TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+
 
 def write_staged_csv(df: DataFrame, root: str, stamp: str, name: str) -> str | None:
     """Pipe-delimited CSV without a header under a date-stamped path; None (nothing written) for no rows."""
     if df.isEmpty():
         return None
     path = f"{root.rstrip('/')}/etl-staging/{stamp}/{name}"
-    df.write.mode("overwrite").option("sep", "|").option("nullValue", "").option("emptyValue", "").csv(path)
+    df.write.mode("overwrite").option("sep", "|").option("nullValue", "").option("emptyValue", "").option(
+        "timestampNTZFormat", TIME_FORMAT
+    ).csv(path)
     return path
 
 
@@ -54,7 +59,7 @@ def land_batch(records: DataFrame, path: str, record_type: str | None = None) ->
         typed = records.withColumn("type", F.coalesce("type", F.lit("telemetry")))
     else:
         typed = records.withColumn("type", F.lit("telemetry"))
-    typed.write.mode("append").partitionBy("type").json(path)
+    typed.write.mode("append").partitionBy("type").option("timestampNTZFormat", TIME_FORMAT).json(path)
 
 
 def envelope(page: DataFrame, limit: int, offset: int, order: list, name: str = "rows") -> DataFrame:

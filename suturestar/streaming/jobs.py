@@ -63,21 +63,44 @@ def stream_telemetry(
     interval: str = "1 minute",
     now: datetime | None = None,
 ) -> StreamingQuery:
-    """Files -> valid/invalid -> samples -> the telemetry fact below `root`; refused records are kept as JSON."""
+    """Files -> samples -> the telemetry fact below `root`; refused records are kept as JSON beside it.
+
+    With `delay`, copies are also suppressed by state before they reach the fact; refused records are then
+    kept by `stream_refused`, which reads the same files.
+    """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         samples, refused = flatten_telemetry(batch)
         append_samples(spark, samples, root, now)
-        refused.write.mode("overwrite").json(f"{root}/rejected_telemetry/batch_id={batch_id}")
+        _keep_refused(refused, root, batch_id)
 
-    def deduplicating_sink(batch: DataFrame, batch_id: int) -> None:
+    def samples_sink(batch: DataFrame, batch_id: int) -> None:
         append_samples(spark, batch, root, now)
 
     source = telemetry_files(spark, path, max_files)
     if delay is None:
         return _start(source, sink, checkpoint, available_now, interval)
     samples, _ = flatten_telemetry(source)
-    return _start(suppress_duplicates(samples, delay), deduplicating_sink, checkpoint, available_now, interval)
+    return _start(suppress_duplicates(samples, delay), samples_sink, checkpoint, available_now, interval)
+
+
+def _keep_refused(refused: DataFrame, root: str, batch_id: int) -> None:
+    refused.write.mode("overwrite").json(f"{root}/rejected_telemetry/batch_id={batch_id}")
+
+
+def stream_refused(
+    spark: SparkSession,
+    path: str,
+    root: str,
+    checkpoint: str,
+    max_files: int | None = FILES_PER_TRIGGER,
+    available_now: bool = True,
+    interval: str = "1 minute",
+) -> StreamingQuery:
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        _keep_refused(flatten_telemetry(batch)[1], root, batch_id)
+
+    return _start(telemetry_files(spark, path, max_files), sink, checkpoint, available_now, interval)
 
 
 def stream_ingest(
