@@ -324,7 +324,7 @@ def etl_flatten_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def etl_telemetry_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     refused = _samples(spark, sf_dir)[1]
-    return refused.groupBy("reason").agg(F.count("timestamp").alias("records"))
+    return refused.groupBy("reason").agg(F.count("document").alias("records"))
 
 
 def _loaded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -96,8 +96,8 @@ def time_spine(spark: SparkSession) -> DataFrame:
 
 
 def facility_seed(spark: SparkSession) -> DataFrame:
-    schema = (
-        "facility_id string, facility_name string, city string, state string, country string, "
-        "facility_type string, bed_count int"
-    )
-    return spark.createDataFrame(FACILITY_SEED, schema).withColumn("effective_date", F.lit(FACILITY_SEED_DATE))
+    """The seed as a constant relation, known to the optimizer without a job."""
+    text = lambda v: str(v) if isinstance(v, int) else "'" + v.replace("'", "\\'") + "'"
+    values = ", ".join(f"({', '.join(map(text, row))})" for row in FACILITY_SEED)
+    columns = "facility_id, facility_name, city, state, country, facility_type, bed_count"
+    return spark.sql(f"select *, date '{FACILITY_SEED_DATE}' as effective_date from values {values} as t({columns})")

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from suturestar.operators.keys import add_keys, next_key
+from suturestar.operators.keys import add_sparse_keys, next_key
 from suturestar.operators.scd import scd2_merge, with_parent_key
 from suturestar.plans import dims, etl
 from suturestar.plans.star import Star
-from suturestar.plans.telemetry import flatten_telemetry, load_telemetry
+from suturestar.plans.telemetry import load_telemetry, split_tagged, tag_telemetry
 from suturestar.schemas import conform, schema_of
 from suturestar.sources import snapshots, writers
 
@@ -25,7 +26,9 @@ SUCCESS, PARTIAL, FAILED = "SUCCESS", "PARTIAL_SUCCESS", "FAILED"
 
 
 def _empty(spark: SparkSession, table: str) -> DataFrame:
-    return spark.createDataFrame([], schema_of(table))
+    """No rows, in a form that the optimizer folds away together with the joins on it."""
+    columns = [f"cast(null as {f.dataType.simpleString()}) as `{f.name}`" for f in schema_of(table).fields]
+    return spark.range(1).where("false").selectExpr(*columns)
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -111,37 +114,50 @@ def load_procedures(
     )
     existing = read_table(spark, root, "fact_procedures")
     keyed, _ = etl.stage_facts(stage, load_star(spark, root), existing)
-    numbered = add_keys(keyed, "procedure_key", ["procedure_id"], start=next_key(existing, "procedure_key"))
+    numbered = add_sparse_keys(keyed, "procedure_key", ["procedure_id"], start=next_key(existing, "procedure_key"))
     unknown = (F.col("robot_key") < 0) | (F.col("surgeon_key") < 0) | (F.col("facility_key") < 0)
     seen = Observation("fact_procedures")
-    facts = conform(numbered, "fact_procedures", now).observe(
-        seen, F.count(F.lit(1)).alias("inserted"), F.count_if(unknown).alias("rejected")
+    counts = (F.count(F.lit(1)).alias("inserted"), F.count_if(unknown).alias("rejected"))
+    writers.append_procedures(
+        conform(numbered, "fact_procedures", now), f"{root}/fact_procedures", lambda df: df.observe(seen, *counts)
     )
-    writers.append_procedures(facts, f"{root}/fact_procedures")
     return ("procedures", SUCCESS, seen.get["inserted"], 0, seen.get["rejected"], "")
 
 
 def append_samples(
     spark: SparkSession, samples: DataFrame, root: str, now: datetime | None = None
 ) -> tuple[int, int]:
-    """Append the samples that the fact does not hold; (inserted, orphans)."""
+    """Append the samples that the fact does not hold; (inserted, orphans).  `samples` is read several times."""
     existing = read_table(spark, root, "fact_procedure_telemetry")
     rows, orphans = load_telemetry(samples, read_table(spark, root, "fact_procedures"), existing)
-    numbered = add_keys(
+    numbered = add_sparse_keys(
         rows, "telemetry_key", ["procedure_key", "sample_timestamp"], start=next_key(existing, "telemetry_key")
     )
     seen = Observation("fact_procedure_telemetry")
-    facts = conform(numbered, "fact_procedure_telemetry", now).observe(seen, F.count(F.lit(1)).alias("inserted"))
-    writers.append_telemetry(facts, f"{root}/fact_procedure_telemetry")
+    writers.append_telemetry(
+        conform(numbered, "fact_procedure_telemetry", now),
+        f"{root}/fact_procedure_telemetry",
+        lambda df: df.observe(seen, F.count(F.lit(1)).alias("inserted")),
+    )
     return seen.get["inserted"], orphans.count()
 
 
-def load_samples(spark: SparkSession, raw: DataFrame, root: str, now: datetime | None = None) -> tuple:
-    samples, refused = flatten_telemetry(raw)
+def stage_samples(spark: SparkSession, raw: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """(samples, refused), written once as columns so that the steps of the load do not parse JSON again."""
+    tag_telemetry(raw).write.mode("overwrite").parquet(path)
+    return split_tagged(spark.read.parquet(path))
+
+
+def load_samples(
+    spark: SparkSession, raw: DataFrame, root: str, now: datetime | None = None, batch: str | None = None
+) -> tuple:
+    """Stage, append what is new, and count orphans and refused records as rejected.
+
+    The staged batch stays below `root`/staged_telemetry with every refused document; `batch` names it.
+    """
+    samples, refused = stage_samples(spark, raw, f"{root}/staged_telemetry/{batch or uuid.uuid4().hex}")
     inserted, orphans = append_samples(spark, samples, root, now)
-    # Spark will not read the corrupt-record column alone, so a field of the record goes with it.
-    rejected = refused.select("procedure_id", "_corrupt", "reason").agg(F.count("reason").alias("n")).first()["n"]
-    return ("telemetry", SUCCESS, inserted, 0, orphans + rejected, "")
+    return ("telemetry", SUCCESS, inserted, 0, orphans + refused.count(), "")
 
 
 def run_pipeline(

@@ -27,11 +27,11 @@ def _rotation(axis: str) -> Column:
     return F.get_json_object("arm_rotation", f"$.{axis}")
 
 
-def flatten_telemetry(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(typed samples in stage order, documents refused with a `reason`).
+def tag_telemetry(raw: DataFrame) -> DataFrame:
+    """The staged columns, plus `reason` and the whole `document` where a record is refused.
 
     Nested and flat layouts are both read.  A value that does not fit its type becomes NULL; a record
-    without a readable timestamp, or that is not a telemetry document at all, is refused and kept.
+    without a readable timestamp, or that is not a telemetry document at all, is refused.
     """
     at = wall_clock(F.col("timestamp"))
     reason = (
@@ -39,11 +39,12 @@ def flatten_telemetry(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         .when(F.col("timestamp").isNull() | (F.col("timestamp") == ""), "missing timestamp")
         .when(at.isNull(), "unreadable timestamp")
     )
-    tagged = raw.withColumns({"reason": reason, "sample_at__": at})
+    fields = F.struct(*[c for c in raw.columns if c != "_corrupt"])
+    document = F.when(reason.isNotNull(), F.coalesce(F.col("_corrupt"), F.to_json(fields)))
     sources = {
         "procedure_id": F.col("procedure_id"),
-        "timestamp_key": time_key(F.col("sample_at__")),
-        "sample_timestamp": F.col("sample_at__"),
+        "timestamp_key": time_key(at),
+        "sample_timestamp": at,
         "arm_position_x": _first("arm_position.x", "arm_position_x"),
         "arm_position_y": _first("arm_position.y", "arm_position_y"),
         "arm_position_z": _first("arm_position.z", "arm_position_z"),
@@ -60,11 +61,18 @@ def flatten_telemetry(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         "network_latency_ms": _first("system_metrics.network_latency_ms", "network_latency_ms"),
         "video_fps": _first("system_metrics.video_fps", "video_fps"),
     }
-    ok = tagged.filter(F.col("reason").isNull()).select(
-        *[sources[name].try_cast(kind).alias(name) for name, kind in TELEMETRY_STAGE.items()]
-    )
-    refused = tagged.filter(F.col("reason").isNotNull()).drop("sample_at__")
-    return ok, refused
+    typed = [sources[name].try_cast(kind).alias(name) for name, kind in TELEMETRY_STAGE.items()]
+    return raw.select(*typed, reason.alias("reason"), document.alias("document"))
+
+
+def split_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(samples in stage order, refused records with their reason and document)."""
+    samples = tagged.filter(F.col("reason").isNull()).select(*STAGE_COLUMNS)
+    return samples, tagged.filter(F.col("reason").isNotNull()).select("procedure_id", "reason", "document")
+
+
+def flatten_telemetry(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return split_tagged(tag_telemetry(raw))
 
 
 def prune_to_days(existing: DataFrame, stage: DataFrame) -> DataFrame:

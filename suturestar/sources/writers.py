@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,20 +37,25 @@ def clustered(df: DataFrame, partition: str, *sort: str) -> DataFrame:
     return df.hint("rebalance", F.col(partition)).sortWithinPartitions(partition, *sort)
 
 
-def append_procedures(facts: DataFrame, path: str) -> None:
+Watch = Callable[[DataFrame], DataFrame]
+
+
+def _append(rows: DataFrame, path: str, partition: str, sort: tuple[str, ...], watch: Watch | None) -> None:
+    """`watch` is applied last, in the writing stage, where Spark counts each task once even when it is retried."""
+    ready = clustered(rows, partition, *sort)
+    (ready if watch is None else watch(ready)).write.mode("append").partitionBy(partition).parquet(path)
+
+
+def append_procedures(facts: DataFrame, path: str, watch: Watch | None = None) -> None:
     """Month partitions, sorted by day and robot: the star's sort key as file statistics."""
     months = facts.withColumn("start_month", F.expr("start_date_key div 100").cast("int"))
-    clustered(months, "start_month", "start_date_key", "robot_key").write.mode("append").partitionBy(
-        "start_month"
-    ).parquet(path)
+    _append(months, path, "start_month", ("start_date_key", "robot_key"), watch)
 
 
-def append_telemetry(rows: DataFrame, path: str) -> None:
+def append_telemetry(rows: DataFrame, path: str, watch: Watch | None = None) -> None:
     """Day partitions, sorted by procedure and time."""
     days = rows.withColumn("sample_date", F.to_date("sample_timestamp"))
-    clustered(days, "sample_date", "procedure_key", "sample_timestamp").write.mode("append").partitionBy(
-        "sample_date"
-    ).parquet(path)
+    _append(days, path, "sample_date", ("procedure_key", "sample_timestamp"), watch)
 
 
 def land_batch(records: DataFrame, path: str, record_type: str | None = None) -> None:

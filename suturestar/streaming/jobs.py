@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from suturestar.operators.quality import split_required
 from suturestar.operators.upsert import fold_updates
-from suturestar.plans.load import append_samples
+from suturestar.plans.load import append_samples, load_samples
 from suturestar.plans.telemetry import flatten_telemetry
 from suturestar.schemas import TELEMETRY_DOCUMENT_DDL, nullable, schema_of
 from suturestar.sources.readers import telemetry_options
@@ -63,19 +63,20 @@ def stream_telemetry(
     interval: str = "1 minute",
     now: datetime | None = None,
 ) -> StreamingQuery:
-    """Files -> samples -> the telemetry fact below `root`; refused records are kept as JSON beside it.
+    """Files -> staged samples -> the telemetry fact below `root`.
 
-    With `delay`, copies are also suppressed by state before they reach the fact; refused records are then
-    kept by `stream_refused`, which reads the same files.
+    Each batch is staged in its own directory, where refused records stay with their documents.  With
+    `delay`, copies are suppressed by state before they reach the fact; refused records are then kept by
+    `stream_refused`, which reads the same files.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        samples, refused = flatten_telemetry(batch)
-        append_samples(spark, samples, root, now)
-        _keep_refused(refused, root, batch_id)
+        load_samples(spark, batch, root, now, f"batch_id={batch_id}")
 
     def samples_sink(batch: DataFrame, batch_id: int) -> None:
-        append_samples(spark, batch, root, now)
+        staged = f"{root}/staged_samples/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(staged)
+        append_samples(spark, spark.read.parquet(staged), root, now)
 
     source = telemetry_files(spark, path, max_files)
     if delay is None:
@@ -84,10 +85,6 @@ def stream_telemetry(
     return _start(suppress_duplicates(samples, delay), samples_sink, checkpoint, available_now, interval)
 
 
-def _keep_refused(refused: DataFrame, root: str, batch_id: int) -> None:
-    refused.write.mode("overwrite").json(f"{root}/rejected_telemetry/batch_id={batch_id}")
-
-
 def stream_refused(
     spark: SparkSession,
     path: str,
@@ -98,7 +95,7 @@ def stream_refused(
     interval: str = "1 minute",
 ) -> StreamingQuery:
     def sink(batch: DataFrame, batch_id: int) -> None:
-        _keep_refused(flatten_telemetry(batch)[1], root, batch_id)
+        flatten_telemetry(batch)[1].write.mode("overwrite").json(f"{root}/rejected_telemetry/batch_id={batch_id}")
 
     return _start(telemetry_files(spark, path, max_files), sink, checkpoint, available_now, interval)
 
