@@ -133,29 +133,29 @@ FIRST_RUN, SECOND_RUN = date(1998, 1, 1), date(2000, 1, 1)
 
 
 def first_fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Without every tenth robot."""
-    return _fleet(spark, sf_dir).filter("pmod(s_suppkey, 10) <> 7").drop("s_suppkey")
+    """Without the robots that are bought later."""
+    return _fleet(spark, sf_dir).filter("s_acctbal < 9000").drop("s_acctbal")
 
 
 def second_fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Some robots absent, some with a new status, some that lost their software version."""
+    """Some robots gone, some with a new status, some that lost their software version."""
     return (
         _fleet(spark, sf_dir)
-        .filter("pmod(s_suppkey, 10) <> 3")
+        .filter("s_acctbal >= -500")
         .withColumns(
             {
-                "status": F.expr("if(pmod(s_suppkey, 4) = 0, 'upgraded', status)"),
-                "software_version": F.expr("if(pmod(s_suppkey, 6) = 0, null, software_version)"),
+                "status": F.expr("if(s_acctbal between 2000 and 4000, 'upgraded', status)"),
+                "software_version": F.expr("if(s_acctbal between 3500 and 5000, null, software_version)"),
                 "total_procedures_count": F.lit(99),
             }
         )
-        .drop("s_suppkey")
+        .drop("s_acctbal")
     )
 
 
 def _fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.read(spark, sf_dir, "supplier").selectExpr(
-        "s_suppkey",
+        "s_acctbal",
         f"{t.robot_id('s_suppkey')} as robot_id",
         "s_name as robot_serial_number",
         "concat('Model-', cast(pmod(s_suppkey, 7) as string)) as robot_model",

@@ -141,16 +141,16 @@ CTES.update(
             """
             SELECT s_suppkey, 'RBT-' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS robot_id,
                    CASE WHEN s_suppkey % 5 <> 0 THEN 'v' || (s_suppkey % 5) END AS software_version,
-                   CASE WHEN s_acctbal >= 1000 THEN 'operational' ELSE 'maintenance' END AS status, s_nationkey
+                   CASE WHEN s_acctbal >= 1000 THEN 'operational' ELSE 'maintenance' END AS status, s_acctbal
             FROM supplier""",
         ),
         # Both states of the fleet side by side.
         "fleet_pair": (
             ("fleet",),
             """
-            SELECT *, s_suppkey % 10 <> 7 AS in_first, s_suppkey % 10 <> 3 AS in_second,
-                   CASE WHEN s_suppkey % 4 = 0 THEN 'upgraded' ELSE status END AS status2,
-                   CASE WHEN s_suppkey % 6 = 0 THEN NULL ELSE software_version END AS software2
+            SELECT *, s_acctbal < 9000 AS in_first, s_acctbal >= -500 AS in_second,
+                   CASE WHEN s_acctbal BETWEEN 2000 AND 4000 THEN 'upgraded' ELSE status END AS status2,
+                   CASE WHEN s_acctbal BETWEEN 3500 AND 5000 THEN NULL ELSE software_version END AS software2
             FROM fleet""",
         ),
         "fleet_versions": (
