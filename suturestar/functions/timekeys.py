@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,6 +18,11 @@ def time_key(c: Column) -> Column:
     return (F.hour(c) * 10000 + F.minute(c) * 100).cast("int")
 
 
+def moment(value: date | datetime) -> Column:
+    """A wall-clock literal, the same in every session zone."""
+    return F.lit(value.isoformat()).cast("timestamp_ntz")
+
+
 def date_key_literal(d: date) -> int:
     return d.year * 10000 + d.month * 100 + d.day
 

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from suturestar.functions.timekeys import moment
 from suturestar.operators.rows import only_new
 
 
@@ -43,12 +44,13 @@ def upsert(
     folded = fold_updates(updates, key, update_cols, order_col)
     changes = folded.select(key, F.struct(*update_cols).alias("u__"))
     known = F.col("u__").isNotNull()
+    stamped = None if stamp is None else moment(stamp[1]).cast(target.schema[stamp[0]].dataType)
 
     def column(c: str):
         if c in update_cols:
             return F.when(known, F.col(f"u__.{c}")).otherwise(F.col(c)).alias(c)
         if stamp is not None and c == stamp[0]:
-            return F.when(known, F.lit(stamp[1]).cast(target.schema[c].dataType)).otherwise(F.col(c)).alias(c)
+            return F.when(known, stamped).otherwise(F.col(c)).alias(c)
         return F.col(c)
 
     kept = target.join(changes, key, "left").select(*[column(c) for c in target.columns])
@@ -59,7 +61,7 @@ def upsert(
         ]
     )
     if stamp is not None:
-        new = new.withColumn(stamp[0], F.coalesce(F.col(stamp[0]), F.lit(stamp[1]).cast(target.schema[stamp[0]].dataType)))
+        new = new.withColumn(stamp[0], F.coalesce(F.col(stamp[0]), stamped))
     return kept.unionByName(new)
 
 

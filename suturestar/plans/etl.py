@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from suturestar.functions.lists import items
-from suturestar.functions.timekeys import date_key, full_years, time_key
+from suturestar.functions.timekeys import date_key, full_years, moment, time_key
 from suturestar.operators.lookup import Lookup, resolve_keys
 from suturestar.operators.rows import one_per_key, only_new
 from suturestar.plans.star import Star
@@ -41,7 +41,7 @@ def window_of(start: date | None, end: date | None, today: date | None = None) -
 
 
 def in_window(c: Column, start: date | datetime, end: date | datetime) -> Column:
-    return (c >= F.lit(start).cast("timestamp_ntz")) & (c < F.lit(end).cast("timestamp_ntz"))
+    return (c >= moment(start)) & (c < moment(end))
 
 
 def extract_surgeons(procedures: DataFrame, as_of: date) -> DataFrame:

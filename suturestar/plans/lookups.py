@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from suturestar.functions.measures import average, combine, distinct, partials, rows, summarise
-from suturestar.functions.timekeys import date_key_literal
+from suturestar.functions.timekeys import date_key_literal, moment
 from suturestar.operators.quality import row_counts
 from suturestar.plans.star import TABLES, Star
 from suturestar.plans.views import (
@@ -111,7 +111,7 @@ def _category_profile(procedures_table: DataFrame, count: str) -> DataFrame:
 
 
 def category_stats(tables: Tables, as_of: datetime, days: int = 30) -> DataFrame:
-    since = F.lit(as_of - timedelta(days=days)).cast("timestamp_ntz")
+    since = moment(as_of - timedelta(days=days))
     return _category_profile(tables["surgical_procedures"].filter(F.col("start_time") >= since), "count")
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from suturestar.functions.timekeys import moment
+
 # The column names, order and types of the public data model.
 OPERATIONAL_DDL = {
     "surgical_robots": """
@@ -156,7 +158,7 @@ def nullable(schema: StructType) -> StructType:
 
 def _default(value: object, now: datetime | None) -> Column:
     if value is NOW:
-        return F.current_timestamp().cast("timestamp_ntz") if now is None else F.lit(now).cast("timestamp_ntz")
+        return F.current_timestamp().cast("timestamp_ntz") if now is None else moment(now)
     return F.lit(value)
 
 

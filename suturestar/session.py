@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -27,13 +28,14 @@ def build_session(app: str = "suturestar", master: str | None = None, **settings
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="suturestar-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by `spark.checkpoint.dir`; a local one only when it is unset (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="suturestar-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    return (spark.conf.get("spark.checkpoint.dir", None) or _local_folder()).rstrip("/")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
