@@ -1,8 +1,8 @@
 """Time the headline queries; prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) names the tables, BENCH_CPUS (default 8) the local threads.
-Every query is planned from scratch and run to its end into the noop sink; one earlier run of one query
-warms the JVM up and is not counted.
+Every query is planned from scratch and run to its end into the noop sink, twice; the second run counts,
+as a long-lived cluster's JVMs are warm.  `cold` has the first runs.  Nothing is cached between runs.
 """
 
 from __future__ import annotations
@@ -50,7 +50,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = registry.queries()
-    run(queries["q02_top_robots"], spark, sf_dir)
+    cold = {name: round(run(queries[name], spark, sf_dir), 3) for name in HEADLINE}
     seconds = {name: round(run(queries[name], spark, sf_dir), 3) for name in HEADLINE}
     print(
         json.dumps(
@@ -59,6 +59,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "cold": cold,
                 "sf": os.path.basename(sf_dir.rstrip("/")),
             }
         )

@@ -4,24 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """The last row per key by `order`; remaining ties go to the greatest remaining columns.
 
-    An aggregate, not a window: copies are dropped before the shuffle, so a key that holds a third of
-    the rows reaches its reducer as a few rows.  The choice does not depend on row order, so a
-    recomputed partition gives the same row.
+    Spark runs `row_number() = 1` as a group limit before the shuffle as well as after it, so each task
+    sends one row per key and a key that holds a third of the rows stays small.  The choice does not
+    depend on row order, so a recomputed partition gives the same row.
     """
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    first = [c for c in rest if c in order]
-    picked = F.struct(*order, *[c for c in rest if c not in first])
-    out = df.groupBy(*keys).agg(F.max(picked).alias("row__"))
-    return out.select(*[F.col(c) if c in keys else F.col(f"row__.{c}").alias(c) for c in df.columns])
+    ranked = [F.desc(c) for c in (*order, *[c for c in rest if c not in order])]
+    newest = F.row_number().over(Window.partitionBy(*keys).orderBy(*ranked))
+    return df.withColumn("rank__", newest).filter("rank__ = 1").drop("rank__")
 
 
 def only_new(stage: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:

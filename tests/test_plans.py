@@ -143,3 +143,12 @@ def test_results_do_not_depend_on_broadcasts(spark, sf_dir):
 
 def test_schema_is_declared_once(spark, sf_dir):
     assert tables._schema(spark, f"{sf_dir}/orders.parquet") is tables._schema(spark, f"{sf_dir}/orders.parquet")
+
+
+def test_copies_shrink_before_the_shuffle(spark):
+    from suturestar.operators.rows import one_per_key
+
+    df = spark.range(100).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
+    plan = physical(one_per_key(df, ["k"]))
+    assert plan.count("WindowGroupLimit") == 2
+    assert plan.rindex("WindowGroupLimit") > plan.index("Exchange")
