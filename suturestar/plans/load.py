@@ -126,7 +126,7 @@ def load_procedures(
 
 def append_samples(
     spark: SparkSession, samples: DataFrame, root: str, now: datetime | None = None
-) -> tuple[int, int]:
+) -> tuple[int, DataFrame]:
     """Append the samples that the fact does not hold; (inserted, orphans).  `samples` is read several times."""
     existing = read_table(spark, root, "fact_procedure_telemetry")
     rows, orphans = load_telemetry(samples, read_table(spark, root, "fact_procedures"), existing)
@@ -139,7 +139,7 @@ def append_samples(
         f"{root}/fact_procedure_telemetry",
         lambda df: df.observe(seen, F.count(F.lit(1)).alias("inserted")),
     )
-    return seen.get["inserted"], orphans.count()
+    return seen.get["inserted"], orphans
 
 
 def stage_samples(spark: SparkSession, raw: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
@@ -148,16 +148,14 @@ def stage_samples(spark: SparkSession, raw: DataFrame, path: str) -> tuple[DataF
     return split_tagged(spark.read.parquet(path))
 
 
-def load_samples(
-    spark: SparkSession, raw: DataFrame, root: str, now: datetime | None = None, batch: str | None = None
-) -> tuple:
+def load_samples(spark: SparkSession, raw: DataFrame, root: str, now: datetime | None = None) -> tuple:
     """Stage, append what is new, and count orphans and refused records as rejected.
 
-    The staged batch stays below `root`/staged_telemetry with every refused document; `batch` names it.
+    The staged batch stays below `root`/staged_telemetry with every refused document.
     """
-    samples, refused = stage_samples(spark, raw, f"{root}/staged_telemetry/{batch or uuid.uuid4().hex}")
+    samples, refused = stage_samples(spark, raw, f"{root}/staged_telemetry/{uuid.uuid4().hex}")
     inserted, orphans = append_samples(spark, samples, root, now)
-    return ("telemetry", SUCCESS, inserted, 0, orphans + refused.count(), "")
+    return ("telemetry", SUCCESS, inserted, 0, orphans.count() + refused.count(), "")
 
 
 def run_pipeline(

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from suturestar.operators.quality import split_required
 from suturestar.operators.upsert import fold_updates
-from suturestar.plans.load import append_samples, load_samples
+from suturestar.plans.load import append_samples, stage_samples
 from suturestar.plans.telemetry import flatten_telemetry
 from suturestar.schemas import TELEMETRY_DOCUMENT_DDL, nullable, schema_of
 from suturestar.sources.readers import telemetry_options
@@ -71,7 +71,8 @@ def stream_telemetry(
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        load_samples(spark, batch, root, now, f"batch_id={batch_id}")
+        samples, _ = stage_samples(spark, batch, f"{root}/staged_telemetry/batch_id={batch_id}")
+        append_samples(spark, samples, root, now)
 
     def samples_sink(batch: DataFrame, batch_id: int) -> None:
         staged = f"{root}/staged_samples/batch_id={batch_id}"
