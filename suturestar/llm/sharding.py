@@ -7,9 +7,9 @@ intervals shrink.  A round sends a few hundred counts to the driver, whatever th
 settled, the rows move once, each straight to the partition of its part of the key space, where they are sorted
 and numbered; the exact counts below a part give its first slot, so no count follows the exchange.
 
-Law `bytes`: a row belongs to shard `8 * p / total` (rounded down), `p` being the bytes before it in the order.
-Rows of equal text form a group.  A group of at most `tolerance` of a shard's bytes takes the `p` of its first
-row and stays whole; a larger one, such as a text that a third of all rows share, is cut by document id.
+Law `bytes`: a row belongs to shard `8 * p / total` (rounded down), `p` being the bytes up to its middle in the
+order.  Rows of equal text form a group.  A group of at most `tolerance` of a shard's bytes counts as one row and
+stays whole; a larger one, such as a text that a third of all rows share, is cut by document id.
 
 Nulls: a null text has size 1 and forms one group; a null id sorts first.  Rows with equal text and id cannot be
 told apart, stay together, and take adjacent slots.  An empty table gives an empty result.  A column of the input
@@ -34,7 +34,10 @@ Key = tuple[int, int]
 
 @dataclass
 class Splitter:
-    """A wanted boundary: `target` bytes lie before it.  `slack` > 0 accepts any probe that near."""
+    """A wanted boundary: `target` bytes lie before it.  `slack` > 0 accepts any probe that near.
+
+    `low` and `high` are the keys between which it lies; with one hash, the document ids count, else they don't.
+    """
 
     target: int
     slack: int
@@ -81,9 +84,9 @@ def _histogram(keys: DataFrame, probes: list[Key]) -> list[dict]:
 
 
 def _spread(low: int, high: int, n: int) -> list[int]:
-    """At most n values in (low, high], evenly apart, the highest last."""
-    width = high - low
-    return sorted({low + max(1, width * i // n) for i in range(1, n + 1)}) if width > 0 else []
+    """Values evenly apart from the lowest to just behind the highest: what lies between two is inside the interval."""
+    width = high + 1 - low
+    return sorted({low + width * i // n for i in range(n + 1)})
 
 
 def _probes(s: Splitter, n: int) -> list[Key]:
@@ -103,14 +106,16 @@ def _settle(s: Splitter, cells: list[dict], whole: int) -> None:
             return
     cell = [c for c in cells if c["bytes_before"] < s.target][-1:] or cells[:1]
     c = cell[0]
+    # A cell of one hash, seen while the interval held several, is the whole group.
     group_fits = c["h0"] == c["h1"] and s.low[0] != s.high[0] and c["bytes"] <= whole
     if group_fits or (c["h0"], c["d0"]) == (c["h1"], c["d1"]):
-        s.at = (c["h0"] + 1, LOWEST) if group_fits else (c["h0"], c["d0"] + 1)
-        s.bytes_before, s.rows_before = c["bytes_before"] + c["bytes"], c["rows_before"] + c["rows"]
+        h, d = (c["h0"], LOWEST) if group_fits else (c["h0"], c["d0"])
+        s.at, s.bytes_before, s.rows_before = (h, d), c["bytes_before"], c["rows_before"]
+        if 2 * c["bytes_before"] + c["bytes"] < 2 * s.target:
+            s.at = (h + 1, LOWEST) if group_fits else (h, d + 1)
+            s.bytes_before, s.rows_before = s.bytes_before + c["bytes"], s.rows_before + c["rows"]
         return
-    one = c["h0"] == c["h1"]
-    s.low = (c["h0"], c["d0"] - 1 if one else LOWEST)
-    s.high = (c["h1"], c["d1"] if one else LOWEST)
+    s.low, s.high = (c["h0"], c["d0"]), (c["h1"], c["d1"])
 
 
 def find_splitters(keys: DataFrame, shards: int, parts: int, tolerance: float) -> tuple[list[Splitter], list[int]]:
@@ -120,9 +125,9 @@ def find_splitters(keys: DataFrame, shards: int, parts: int, tolerance: float) -
         return [], [0]
     all_ = first[0]
     total, whole = all_["bytes"], int(all_["bytes"] / shards * tolerance)
-    span = ((all_["h0"] - 1, LOWEST), (all_["h1"], LOWEST)) if all_["h0"] < all_["h1"] else ((all_["h0"], all_["d0"] - 1), (all_["h0"], all_["d1"]))
+    span = ((all_["h0"], all_["d0"]), (all_["h1"], all_["d1"]))
     n = shards * parts
-    wanted = [Splitter(-(-total * i // n), 0 if i % parts == 0 else max(1, total // n // 4), *span) for i in range(1, n)]
+    wanted = [Splitter(total * i // n, 0 if i % parts == 0 else max(1, total // n // 4), *span) for i in range(1, n)]
     while open_ := [s for s in wanted if s.at is None]:
         intervals = {(s.low, s.high): s for s in open_}
         each = max(2, PROBES_PER_ROUND // len(intervals))
