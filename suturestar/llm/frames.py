@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession

@@ -6,14 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from suturestar.llm.bpe import op8_pair_index_bpe
+from suturestar.llm.frames import importable
 from suturestar.llm.pii import op7_weak_supervision_pii
 from suturestar.llm.sharding import op9_histogram_shards
+from suturestar.llm.token_files import op10_hash_indexed_ids
 
 Query = Callable[[SparkSession, str], DataFrame]
+QUERIES = (op7_weak_supervision_pii, op8_pair_index_bpe, op9_histogram_shards, op10_hash_indexed_ids)
+
+
+def _ready(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op7_weak_supervision_pii, op9_histogram_shards)}
+    return {f.__name__: _ready(f) for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
