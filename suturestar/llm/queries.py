@@ -11,9 +11,10 @@ from suturestar.llm.frames import importable
 from suturestar.llm.pii import op7_weak_supervision_pii
 from suturestar.llm.sharding import op9_histogram_shards
 from suturestar.llm.token_files import op10_hash_indexed_ids
+from suturestar.llm.vector_search import OP2_SQL, op2_va_file_top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
-QUERIES = (op7_weak_supervision_pii, op8_pair_index_bpe, op9_histogram_shards, op10_hash_indexed_ids)
+QUERIES = (op2_va_file_top_k, op7_weak_supervision_pii, op8_pair_index_bpe, op9_histogram_shards, op10_hash_indexed_ids)
 
 
 def _ready(query: Query) -> Query:
@@ -29,4 +30,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_va_file_top_k": OP2_SQL}
