@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from suturestar.llm.frames import read
 
-SLICE = 32 << 20
-KEPT_PIECES = 600_000
+SLICE = 8 << 20
+KEPT_PIECES = 400_000
 # White space as the normaliser of the vocabulary has it, as ranges (fixed values).
 SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 # The last letter whose class all Unicode versions in use agree on.
