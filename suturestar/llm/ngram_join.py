@@ -15,9 +15,11 @@ Work per step, none of which lists all pairs of a group:
 3. rounds: each shingle names four leaders among its classes; every other class is verified against the leaders it
    shares enough postings with.  Links merge classes into components (connected components by star operations), and
    classes of one component no longer meet.  So thousands of near copies cost a few verifications each.
-4. when the pairs that are left across components are fewer than the postings, or a round merges nothing, all of
-   them are counted and verified.  Nothing is capped: every pair at or above the threshold is verified or already
-   connected, hence the components are exact (but for 64-bit hash collisions).
+4. when rounds no longer pay, all that is left across components is verified.  Shingles of few classes list their
+   pairs, which are at most SMALL / 2 per posting.  Shingles of many (near misses by the thousand) compare blocks of
+   BLOCK classes by one matrix product; any pair at the threshold shares a shingle of its shortest prefixes, so
+   blocks are needed for those only.  Nothing is capped: every pair at or above the threshold is verified or
+   already connected, hence the components are exact (but for 64-bit hash collisions).
 
 Counts of frequent shingles and the bound on their number (FREQUENT, broadcast) change only the order, never results.
 
@@ -49,7 +51,11 @@ LEADERS = 4
 SLICE_ROWS = 512
 KEPT_SETS = 4 << 20
 SKETCH = "kind byte, id long, n int, key long"
-POSTING = "token long, class long, n int, m byte, frequent boolean"
+POSTING = "token long, class long, n int, m byte, first boolean, frequent boolean"
+SMALL = 32
+BLOCK = 1024
+COLUMNS = 4096
+PAYS = 0.7
 
 
 def least_overlap(n: int) -> int:
@@ -127,7 +133,7 @@ def _postings(frequent, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
     tokens, counts = frequent
     done: set[int] = set()
     for batch in _slices(batches):
-        token, often, key, n, m = [], [], [], [], []
+        token, often, key, n, m, first = [], [], [], [], [], []
         for s in shingle_sets(_texts(batch)):
             k = set_key(s)
             if not len(s) or k in done:
@@ -141,10 +147,11 @@ def _postings(frequent, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
             key.append(np.full(len(t), k))
             n.append(np.full(len(t), len(s), np.int32))
             m.append(np.full(len(t), level, np.int8))
+            first.append(np.arange(len(t)) <= len(s) - least_overlap(len(s)))
         if token:
-            columns = [np.concatenate(x) for x in (token, key, n, m, often)]
+            columns = [np.concatenate(x) for x in (token, key, n, m, first, often)]
             columns[0] = columns[0].view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "class", "n", "m", "frequent"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "class", "n", "m", "first", "frequent"])
 
 
 def shared_postings(docs: DataFrame, sketch: DataFrame) -> DataFrame:
@@ -161,7 +168,7 @@ def shared_postings(docs: DataFrame, sketch: DataFrame) -> DataFrame:
     grouped = postings.withColumn("where", where)
     window = F.expr("min(class) OVER (PARTITION BY where) <> max(class) OVER (PARTITION BY where)")
     shared = grouped.withColumn("shared", window).filter("frequent OR shared")
-    return kept(shared.select("token", "class", "n", "m"), "postings")
+    return kept(shared.select("token", "class", "n", "m", "first"), "postings")
 
 
 # ---------------------------------------------------------------- step 3 and 4: candidates and verification
@@ -194,15 +201,82 @@ def leader_pairs(postings: DataFrame, turn: int) -> DataFrame:
     return pairs.agg(_enough(F.col("to.m"), F.col("m")).alias("enough")).filter("enough").drop("enough")
 
 
-def all_pairs_left(postings: DataFrame) -> DataFrame:
-    """Every pair of classes of different components that shares enough postings."""
-    x = postings.select("token", *[F.col(c).alias(f"x_{c}") for c in ("class", "n", "m", "root")])
-    y = postings.select("token", *[F.col(c).alias(f"y_{c}") for c in ("class", "n", "m", "root")])
-    met = x.join(y, "token").filter(
+def open_postings(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Postings of shingles that still join components: of few classes, and of many."""
+    met = postings.groupBy("token").agg(F.count(F.lit(1)).alias("k"), (F.min("root") != F.max("root")).alias("open"))
+    both = kept(postings.join(met.filter("open").drop("open"), "token"), "open")
+    return both.filter(F.col("k") <= SMALL), both.filter(F.col("k") > SMALL)
+
+
+def pairs_left(few: DataFrame, many: DataFrame) -> DataFrame:
+    """Every pair of classes of different components that may reach the threshold by shingles of few classes.
+
+    Of the matches a pair needs, as many as either class has postings of the other kind may lie there; one shared
+    shingle of the shortest prefixes must be here, or blocks find the pair.
+    """
+    elsewhere = many.groupBy("class").agg(F.count(F.lit(1)).cast("int").alias("e"))
+    few = few.join(elsewhere, "class", "left").withColumn("m", F.greatest(F.lit(1), F.col("m") - F.coalesce("e", F.lit(0))))
+    sides = [few.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("class", "n", "m", "root", "first")]) for side in "xy"]
+    met = sides[0].join(sides[1], "token").filter(
         (F.col("x_class") < F.col("y_class")) & (F.col("x_root") != F.col("y_root")) & _fits(F.col("x_n"), F.col("y_n"))
     )
     pairs = met.groupBy(F.col("x_class").alias("a"), F.col("y_class").alias("b"), F.col("x_root").alias("ra"), F.col("y_root").alias("rb"))
-    return pairs.agg(_enough(F.col("x_m"), F.col("y_m")).alias("enough")).filter("enough").drop("enough")
+    possible = _enough(F.col("x_m"), F.col("y_m")) & F.bool_or(F.col("x_first") & F.col("y_first"))
+    return pairs.agg(possible.alias("possible")).filter("possible").drop("possible")
+
+
+def _spanning(pairs: np.ndarray) -> list[tuple[int, int]]:
+    """Edges that connect the same nodes without a cycle."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while x in above:
+            x = above[x]
+        return x
+
+    out = []
+    for u, v in pairs.tolist():
+        a, b = top(u), top(v)
+        if a != b:
+            above[max(a, b)] = min(a, b)
+            out.append((a, b))
+    return out
+
+
+def _block(group: pa.Table) -> pa.Table:
+    """Links between the classes of two blocks, or within one, from the overlaps of all of them at once."""
+    sets = shingle_sets(_texts(group))
+    sizes, roots = np.fromiter(map(len, sets), np.int64, len(sets)), group["root"].to_numpy()
+    block, low, high = group["block"].to_numpy(), group["low"][0].as_py(), group["high"][0].as_py()
+    x, y = np.flatnonzero(block == low), np.flatnonzero(block == high)
+    token, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # Only shingles of two classes add to an overlap.
+    number = np.cumsum(count > 1) - 1
+    row = np.repeat(np.arange(len(sets)), sizes)
+    shared = count[column] > 1
+    row, column = row[shared], number[column[shared]]
+    overlap = np.zeros((len(x), len(y)), np.float32)
+    for at in range(0, int(number[-1]) + 1 if len(number) else 0, COLUMNS):
+        here = (column >= at) & (column < at + COLUMNS)
+        dense = np.zeros((len(sets), COLUMNS), np.float32)
+        dense[row[here], column[here] - at] = 1
+        overlap += dense[x] @ dense[y].T
+    union = sizes[x][:, None] + sizes[y][None, :] - overlap
+    linked = (100 * overlap >= PERCENT * union) & (roots[x][:, None] != roots[y][None, :])
+    i, j = np.nonzero(linked)
+    found = _spanning(np.unique(np.stack((roots[x[i]], roots[y[j]]), 1), axis=0)) if len(i) else []
+    return pa.table({"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())})
+
+
+def block_links(many: DataFrame, texts: DataFrame) -> DataFrame:
+    """Edges between components that classes of the many-class shingles link."""
+    blocks = F.ceil(F.col("k") / BLOCK).cast("int")
+    own = many.filter("first").select("token", "class", "root", blocks.alias("blocks"))
+    own = own.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    sent = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sent = sent.select("token", "class", "root", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    rows = sent.join(texts, "class").select("token", "low", "high", "block", "root", "text")
+    return rows.groupBy("token", "low", "high").applyInArrow(_block, "u long, v long")
 
 
 def _pairs_across(postings: DataFrame) -> float:
@@ -264,19 +338,24 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text") ->
     wanted = classes.join(roots, "class").select("id", "class")
     texts = kept(plain.join(wanted, "id").select("class", "text").mapInArrow(_own_text, "class long, text string").dropDuplicates(["class"]), "texts")
 
-    total, turn, last = postings.count(), 0, False
-    while True:
-        rooted = postings.join(roots, "class")
-        last = last or _pairs_across(rooted) <= max(total, 10_000)
-        pairs = kept(all_pairs_left(rooted) if last else leader_pairs(rooted, turn), "pairs")
-        found = kept(components(links(pairs, texts)), "merged").select(F.col("node").alias("root"), F.col("root").alias("to"))
-        nothing = found.isEmpty()
-        if not nothing:
-            moved = roots.join(found, "root", "left")
-            roots = kept(moved.select("class", F.coalesce("to", "root").alias("root")), "roots")
-        if last:
+    def merge(edges: DataFrame) -> bool:
+        """Merge components along the edges; whether there were any."""
+        nonlocal roots
+        found = kept(components(edges), "merged").select(F.col("node").alias("root"), F.col("root").alias("to"))
+        if found.isEmpty():
+            return False
+        moved = roots.join(found, "root", "left")
+        roots = kept(moved.select("class", F.coalesce("to", "root").alias("root")), "roots")
+        return True
+
+    total, turn, across = postings.count(), 0, _pairs_across(postings.join(roots, "class"))
+    while across > max(total, 10_000):
+        merged = merge(links(kept(leader_pairs(postings.join(roots, "class"), turn), "pairs"), texts))
+        before, across, turn = across, _pairs_across(postings.join(roots, "class")), turn + 1
+        if not merged or across > PAYS * before:
             break
-        last, turn = nothing, turn + 1
+    few, many = open_postings(postings.join(roots, "class"))
+    merge(links(kept(pairs_left(few, many), "pairs"), texts).unionByName(block_links(many, texts)))
 
     reached = classes.join(roots, "class", "left").select("class", "id", F.coalesce("root", "class").alias("root"))
     least = reached.groupBy("root").agg(F.min("id").alias("component_id"))
