@@ -1,13 +1,78 @@
-"""The stages of a training corpus, from raw documents to token ids."""
+"""From raw documents to token ids: quality, near duplicates, benchmark leaks, personal data, encoding.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and reread as the next
+one's input.  All but the last return the columns of documents.  Every stage's decisions take effect on all rows:
+
+* quality: documents scored below 0.3 go.  The classifier learns from the labels of sf_dir.
+* near_duplicates: of documents that shared word shingles connect, the one with the smallest id stays; rows without
+  an id are no duplicates, and of rows that repeat an id the one with the smallest text stays.
+* decontamination: documents that hold a benchmark item go.
+* personal_data: spans are replaced by their kind in brackets.
+* encoding: adds token ids, and the text they decode to.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from suturestar.llm import pii
+from suturestar.llm.bpe import decode, encode
+from suturestar.llm.decontaminate import decontaminated
+from suturestar.llm.frames import fresh, importable, read
+from suturestar.llm.ngram_join import near_duplicates
+from suturestar.llm.quality import KEEP, fit, scored
+from suturestar.session import scratch
+
+# SQL has no classifier; the tests compare each stage with plain Python.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
+    score = fresh("score")
+    model = fit(docs, read(spark, sf_dir, "labels"))
+    return docs.withColumn(score, scored(F.col("text"), model)).filter(F.col(score) >= KEEP).drop(score)
+
+
+def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
+    place = fresh("place")
+    firsts = near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    one = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    named = docs.filter("doc_id IS NOT NULL").join(firsts, "doc_id", "left_semi")
+    kept = named.withColumn(place, one).filter(F.col(place) == 1).drop(place)
+    return kept.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
+    return decontaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.redact(docs, pii.fit(docs))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
+    ids = docs.withColumn("ids", encode(F.col("text")))
+    return ids.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long")).withColumn("decoded", decode(F.col("ids")))
+
+
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicate),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("encoding", encoding),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = scratch(spark, f"stage-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from suturestar.llm.bpe import op8_pair_index_bpe
+from suturestar.llm.decontaminate import op1_wand_decontamination
 from suturestar.llm.frames import importable
 from suturestar.llm.ngram_join import op3_adaptive_prefix_join
 from suturestar.llm.pii import op7_weak_supervision_pii
@@ -16,7 +17,8 @@ from suturestar.llm.token_files import op10_hash_indexed_ids
 from suturestar.llm.vector_search import OP2_SQL, op2_va_file_top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
-QUERIES = (op2_va_file_top_k, op3_adaptive_prefix_join, op5_pu_quality, op7_weak_supervision_pii, op8_pair_index_bpe, op9_histogram_shards, op10_hash_indexed_ids)
+QUERIES = (
+    op1_wand_decontamination, op2_va_file_top_k, op3_adaptive_prefix_join, op5_pu_quality, op7_weak_supervision_pii, op8_pair_index_bpe, op9_histogram_shards, op10_hash_indexed_ids)
 
 
 def _ready(query: Query) -> Query:
