@@ -167,8 +167,10 @@ def shared_postings(docs: DataFrame, sketch: DataFrame) -> DataFrame:
     where = F.when(F.col("frequent"), F.xxhash64("token", "class")).otherwise(F.col("token"))
     grouped = postings.withColumn("where", where)
     window = F.expr("min(class) OVER (PARTITION BY where) <> max(class) OVER (PARTITION BY where)")
-    shared = grouped.withColumn("shared", window).filter("frequent OR shared")
-    return kept(shared.select("token", "class", "n", "m", "first"), "postings")
+    shared = grouped.withColumn("shared", window).filter("frequent OR shared").select("token", "class", "n", "m", "first")
+    # A class with fewer shared postings than it asks for can meet nobody.
+    possible = shared.withColumn("held", F.expr("count(1) OVER (PARTITION BY class)")).filter("held >= m").drop("held")
+    return kept(possible, "postings")
 
 
 # ---------------------------------------------------------------- step 3 and 4: candidates and verification
@@ -313,10 +315,17 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose text has the set key of their class (ids may repeat with other texts)."""
+    """One row per class, whose text has the class's set key: ids may repeat, also with other texts.
+
+    A class has one id, and the rows of an id are in one partition, mostly next to each other.
+    """
+    last = None
     for batch in _slices(batches):
-        keys = [set_key(s) for s in shingle_sets(_texts(batch))]
-        yield batch.filter(pa.array([k == c for k, c in zip(keys, batch.column("class").to_pylist())], pa.bool_()))
+        keep = []
+        for s, c in zip(shingle_sets(_texts(batch)), batch.column("class").to_pylist()):
+            keep.append(c != last and set_key(s) == c)
+            last = c if keep[-1] else last
+        yield batch.filter(pa.array(keep, pa.bool_()))
 
 
 def links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -336,7 +345,7 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text") ->
     postings = shared_postings(plain, sketch)
     roots = kept(postings.select("class").distinct().withColumn("root", F.col("class")), "roots")
     wanted = classes.join(roots, "class").select("id", "class")
-    texts = kept(plain.join(wanted, "id").select("class", "text").mapInArrow(_own_text, "class long, text string").dropDuplicates(["class"]), "texts")
+    texts = kept(plain.join(wanted, "id").select("class", "text").mapInArrow(_own_text, "class long, text string"), "texts")
 
     def merge(edges: DataFrame) -> bool:
         """Merge components along the edges; whether there were any."""
