@@ -13,12 +13,22 @@ from suturestar.llm.ngram_join import op3_adaptive_prefix_join
 from suturestar.llm.pii import op7_weak_supervision_pii
 from suturestar.llm.quality import op5_pu_quality
 from suturestar.llm.sharding import op9_histogram_shards
+from suturestar.llm.token_counts import op4_edit_aware_token_counts
 from suturestar.llm.token_files import op10_hash_indexed_ids
 from suturestar.llm.vector_search import OP2_SQL, op2_va_file_top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES = (
-    op1_wand_decontamination, op2_va_file_top_k, op3_adaptive_prefix_join, op5_pu_quality, op7_weak_supervision_pii, op8_pair_index_bpe, op9_histogram_shards, op10_hash_indexed_ids)
+    op1_wand_decontamination,
+    op2_va_file_top_k,
+    op3_adaptive_prefix_join,
+    op4_edit_aware_token_counts,
+    op5_pu_quality,
+    op7_weak_supervision_pii,
+    op8_pair_index_bpe,
+    op9_histogram_shards,
+    op10_hash_indexed_ids,
+)
 
 
 def _ready(query: Query) -> Query:
