@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from suturestar.llm.bpe import op8_pair_index_bpe
 from suturestar.llm.decontaminate import op1_wand_decontamination
 from suturestar.llm.frames import importable
+from suturestar.llm.html_text import op6_recurrent_html_text
 from suturestar.llm.ngram_join import op3_adaptive_prefix_join
 from suturestar.llm.pii import op7_weak_supervision_pii
 from suturestar.llm.quality import op5_pu_quality
@@ -24,6 +25,7 @@ QUERIES = (
     op3_adaptive_prefix_join,
     op4_edit_aware_token_counts,
     op5_pu_quality,
+    op6_recurrent_html_text,
     op7_weak_supervision_pii,
     op8_pair_index_bpe,
     op9_histogram_shards,
