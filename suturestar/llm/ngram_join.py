@@ -50,6 +50,7 @@ VERIFY_PRICE = 50.0
 LEADERS = 4
 SLICE_ROWS = 512
 KEPT_SETS = 4 << 20
+BITS = 4
 SKETCH = "kind byte, id long, n int, key long"
 POSTING = "token long, class long, n int, m byte, first boolean, frequent boolean"
 SMALL = 32
@@ -277,7 +278,7 @@ def block_links(many: DataFrame, texts: DataFrame) -> DataFrame:
     own = own.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     sent = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     sent = sent.select("token", "class", "root", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    rows = sent.join(texts, "class").select("token", "low", "high", "block", "root", "text")
+    rows = sent.join(texts.select("class", "text"), "class").select("token", "low", "high", "block", "root", "text")
     return rows.groupBy("token", "low", "high").applyInArrow(_block, "u long, v long")
 
 
@@ -314,6 +315,33 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(found.columns, names=["u", "v"])
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """A set as bits, about BITS per shingle in a power of two, so that a larger one folds onto a smaller one."""
+    size = max(64, 1 << (BITS * len(s) - 1).bit_length())
+    bits = np.zeros(size, bool)
+    bits[(s & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def most_overlap(n: int, x: np.ndarray, y: np.ndarray) -> int:
+    """No more of n shingles with the bits x can be in a set with the bits y: each bit that only x has stands for one
+    at least that is not."""
+    size = min(len(x), len(y))
+    x, y = (np.bitwise_or.reduce(b.reshape(-1, size), axis=0) for b in (x, y))
+    return n - int(np.bitwise_count(x & ~y).sum())
+
+
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose bits leave room for the threshold."""
+    for batch in batches:
+        keep = []
+        for n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("n_a", "n_b", "bits_a", "bits_b"))):
+            x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+            most = min(most_overlap(n, x, y), most_overlap(m, y, x))
+            keep.append(100 * most >= PERCENT * (n + m - most))
+        yield batch.select(["a", "b", "ra", "rb"]).filter(pa.array(keep, pa.bool_()))
+
+
 def _own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per class, whose text has the class's set key: ids may repeat, also with other texts.
 
@@ -321,19 +349,26 @@ def _own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     last = None
     for batch in _slices(batches):
-        keep = []
-        for s, c in zip(shingle_sets(_texts(batch)), batch.column("class").to_pylist()):
+        keep, sets = [], shingle_sets(_texts(batch))
+        for s, c in zip(sets, batch.column("class").to_pylist()):
             keep.append(c != last and set_key(s) == c)
             last = c if keep[-1] else last
-        yield batch.filter(pa.array(keep, pa.bool_()))
+        more = [pa.array(map(len, sets), pa.int32()), pa.array(map(bitmap, sets), pa.binary())]
+        rows = pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "n", "bits"])
+        yield rows.filter(pa.array(keep, pa.bool_()))
 
 
 def links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Edges u, v between the components of verified pairs."""
-    member = texts.select(F.col("class").alias("b"), F.col("text").alias("text_b"))
-    leader = texts.select(F.col("class").alias("a"), F.col("text").alias("text_a"))
-    rows = pairs.join(member, "b").join(leader, "a").select("a", "b", "ra", "rb", "text_a", "text_b")
-    return rows.mapInArrow(_verify, "u long, v long")
+    """Edges u, v between the components of verified pairs: bitmaps refuse most others before texts move."""
+
+    def with_both(pairs: DataFrame, *columns: str) -> DataFrame:
+        for side in "ba":
+            other = texts.select(F.col("class").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
+            pairs = pairs.join(other, side)
+        return pairs.select("a", "b", "ra", "rb", *[f"{c}_{side}" for c in columns for side in "ab"])
+
+    near = kept(with_both(pairs, "n", "bits").mapInArrow(_possible, "a long, b long, ra long, rb long"), "near")
+    return with_both(near, "text").mapInArrow(_verify, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> DataFrame:
@@ -345,7 +380,7 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text") ->
     postings = shared_postings(plain, sketch)
     roots = kept(postings.select("class").distinct().withColumn("root", F.col("class")), "roots")
     wanted = classes.join(roots, "class").select("id", "class")
-    texts = kept(plain.join(wanted, "id").select("class", "text").mapInArrow(_own_text, "class long, text string"), "texts")
+    texts = kept(plain.join(wanted, "id").select("class", "text").mapInArrow(_own_text, "class long, text string, n int, bits binary"), "texts")
 
     def merge(edges: DataFrame) -> bool:
         """Merge components along the edges; whether there were any."""
