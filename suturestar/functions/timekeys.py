@@ -61,8 +61,9 @@ def day_part(hour: Column) -> Column:
 
 
 def full_years(since: Column, until: Column) -> Column:
-    """Whole years between two dates, as an age is counted."""
-    return F.floor(F.months_between(until, since) / 12).cast("int")
+    """Whole years between two dates, as an age is counted: 29 February turns on 1 March of a common year."""
+    before = F.struct(F.month(until), F.dayofmonth(until)) < F.struct(F.month(since), F.dayofmonth(since))
+    return F.year(until) - F.year(since) - before.cast("int")
 
 
 def wall_clock(text: Column) -> Column:

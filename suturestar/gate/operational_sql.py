@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from suturestar.gate.star_sql import CTES, _avg, _hits, _r, with_tables
+from suturestar.plans.dims import FACILITY_SEED
 
 CTES.update(
     {
@@ -103,19 +104,9 @@ CTES.update(
         ),
         "seed": (
             (),
-            """
-            SELECT * FROM (VALUES
-              ('FAC-001', 'Boston', 'MA', 'USA', 'Teaching Hospital', 850),
-              ('FAC-002', 'New York', 'NY', 'USA', 'Private Hospital', 600),
-              ('FAC-003', 'San Francisco', 'CA', 'USA', 'Specialty Center', 400),
-              ('FAC-004', 'Houston', 'TX', 'USA', 'Teaching Hospital', 900),
-              ('FAC-005', 'Seattle', 'WA', 'USA', 'Regional Hospital', 550),
-              ('FAC-006', 'Chicago', 'IL', 'USA', 'Private Hospital', 700),
-              ('FAC-007', 'Miami', 'FL', 'USA', 'Specialty Center', 450),
-              ('FAC-008', 'Denver', 'CO', 'USA', 'Regional Hospital', 500),
-              ('FAC-009', 'Atlanta', 'GA', 'USA', 'Teaching Hospital', 800),
-              ('FAC-010', 'Phoenix', 'AZ', 'USA', 'Private Hospital', 600)
-            ) v(facility_id, city, state, country, facility_type, bed_count)""",
+            f"""
+            SELECT * FROM (VALUES {', '.join(str((s[0], *s[2:])) for s in FACILITY_SEED)})
+                v(facility_id, city, state, country, facility_type, bed_count)""",
         ),
         # Telemetry documents: the wall clock survives, the offset is dropped, every 50th has no time.
         "docs": (

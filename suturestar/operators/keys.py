@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1024
+# Bounds the rows of one numbering task to a 65,536th of the input, and the table of offsets to as many rows.
+BUCKETS = 1 << 16
 
 
 def next_key(table: DataFrame, key: str) -> Column:

@@ -36,7 +36,7 @@ def scd2_changes(
     """Every row of the next state of the dimension, with a `change` label.
 
     history: an expired version, passed through.  absent: current, not in the snapshot, kept.
-    same: kept.  new: first version of a key, effective from its snapshot date (else `as_of`).
+    same: kept, its untracked attributes taken from the snapshot.  new: first version of a key, effective from its snapshot date (else `as_of`).
     closed and changed: the old version ends the day before `as_of`, the new one starts on it.
     amended: changed again on the day its version started, rewritten in place.
 
@@ -68,7 +68,8 @@ def scd2_changes(
     blank = {c: "null" for c in columns if c not in attributes and c not in VERSION and c != key}
     fresh_row = {key: f"`{key}`", **from_new, **blank, "expiration_date": "null", "is_current": "true"}
 
-    absent, same = row("absent"), row("same")
+    # Attributes that are not versioned are refreshed in place.
+    absent, same = row("absent"), row("same", **{c: v for c, v in from_new.items() if c not in tracked})
     first = row("new", **fresh_row, effective_date=first_day)
     closed = row("closed", expiration_date=f"date_sub({run_day}, 1)", is_current="false")
     changed = row("changed", **fresh_row, effective_date=run_day)

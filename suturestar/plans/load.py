@@ -4,19 +4,22 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from suturestar.operators.keys import add_sparse_keys, next_key
+from suturestar.operators.rows import one_per_key
 from suturestar.operators.scd import scd2_merge, with_parent_key
 from suturestar.plans import dims, etl
 from suturestar.plans.star import Star
 from suturestar.plans.telemetry import load_telemetry, split_tagged, tag_telemetry
-from suturestar.schemas import conform, schema_of
+from suturestar.schemas import TELEMETRY_STAGE, TELEMETRY_STAGE_DDL, conform, nullable, schema_of
 from suturestar.sources import snapshots, writers
 
+PARTITIONS = {"fact_procedures": ("start_month", "integer"), "fact_procedure_telemetry": ("sample_date", "date")}
+ORPHANS = "orphan_samples"
 KEYS = {"dim_facilities": "facility_key", "dim_surgeons": "surgeon_key", "dim_robots": "robot_key"}
 IDS = {"dim_facilities": "facility_id", "dim_surgeons": "surgeon_id", "dim_robots": "robot_id"}
 ETL_TYPES = ("full", "dimensions", "procedures", "telemetry")
@@ -37,17 +40,29 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
         found = snapshots.read_snapshot(spark, root, table)
         return _empty(spark, table) if found is None else found
     path = f"{root}/{table}"
-    if table in ("fact_procedures", "fact_procedure_telemetry"):
+    if table in PARTITIONS:
+        column, kind = PARTITIONS[table]
         if not snapshots.exists(spark, path):
-            partition = ("start_month", "int") if table == "fact_procedures" else ("sample_date", "date")
-            return _empty(spark, table).withColumn(partition[0], F.lit(None).cast(partition[1]))
-        return spark.read.parquet(path)
+            return _empty(spark, table).withColumn(column, F.lit(None).cast(kind))
+        # The declared schema also reads a folder that an append without rows has left, and no footers.
+        return spark.read.schema(nullable(schema_of(table)).add(column, kind)).parquet(path)
     raise KeyError(table)
 
 
-def load_star(spark: SparkSession, root: str) -> Star:
+def calendar_of(spark: SparkSession, root: str) -> DataFrame:
+    """dim_date for the default calendar and every month that holds a procedure."""
+    months = read_table(spark, root, "fact_procedures").agg(F.min("start_date_key").alias("a"), F.max("start_date_key").alias("b")).first()
+    first, last = dims.SPINE_START, dims.SPINE_START + timedelta(days=dims.SPINE_DAYS - 1)
+    if months.a is not None:
+        first = min(first, date(months.a // 10000, 1, 1))
+        last = max(last, date(months.b // 10000, 12, 31))
+    return dims.date_spine(spark, first, (last - first).days + 1)
+
+
+def load_star(spark: SparkSession, root: str, first_day: date | None = None, n_days: int = dims.SPINE_DAYS) -> Star:
+    """The star below `root`.  Its calendar covers what the fact holds, or `n_days` from `first_day` if that is given."""
     return Star(
-        dim_date=lambda: dims.date_spine(spark),
+        dim_date=lambda: calendar_of(spark, root) if first_day is None else dims.date_spine(spark, first_day, n_days),
         dim_time=lambda: dims.time_spine(spark),
         dim_facilities=lambda: read_table(spark, root, "dim_facilities"),
         dim_surgeons=lambda: read_table(spark, root, "dim_surgeons"),
@@ -124,12 +139,25 @@ def load_procedures(
     return ("procedures", SUCCESS, seen.get["inserted"], 0, seen.get["rejected"], "")
 
 
-def append_samples(
-    spark: SparkSession, samples: DataFrame, root: str, now: datetime | None = None
-) -> tuple[int, DataFrame]:
-    """Append the samples that the fact does not hold; (inserted, orphans).  `samples` is read several times."""
+def waiting_samples(spark: SparkSession, root: str) -> DataFrame | None:
+    """Samples of earlier batches whose procedure was not there yet."""
+    ids = snapshots.committed(spark, root, ORPHANS)
+    return spark.read.schema(TELEMETRY_STAGE_DDL).parquet(f"{root}/{ORPHANS}/snapshot={ids[-1]}") if ids else None
+
+
+def append_samples(spark: SparkSession, samples: DataFrame, root: str, now: datetime | None = None) -> tuple[int, int]:
+    """Append the samples that the fact does not hold; (inserted, orphans of this batch).
+
+    Samples whose procedure is missing wait below `root`/orphan_samples and are tried again with every later batch,
+    as telemetry usually comes before its procedure.  A replayed batch adds nothing: the fact is checked first, and
+    waiting samples are kept once each.  `samples` is read several times.
+    """
+    waiting = waiting_samples(spark, root)
+    both = samples.withColumn("own", F.lit(True))
+    if waiting is not None:
+        both = both.unionByName(waiting.withColumn("own", F.lit(False)))
     existing = read_table(spark, root, "fact_procedure_telemetry")
-    rows, orphans = load_telemetry(samples, read_table(spark, root, "fact_procedures"), existing)
+    rows, _ = load_telemetry(both.drop("own"), read_table(spark, root, "fact_procedures"), existing)
     numbered = add_sparse_keys(
         rows, "telemetry_key", ["procedure_key", "sample_timestamp"], start=next_key(existing, "telemetry_key")
     )
@@ -139,7 +167,14 @@ def append_samples(
         f"{root}/fact_procedure_telemetry",
         lambda df: df.observe(seen, F.count(F.lit(1)).alias("inserted")),
     )
-    return seen.get["inserted"], orphans
+    inserted = seen.get["inserted"]
+    known = read_table(spark, root, "fact_procedures").select("procedure_id")
+    missing = Observation(ORPHANS)
+    orphans = both.join(known, "procedure_id", "left_anti").observe(missing, F.count_if("own").alias("own"))
+    kept = one_per_key(orphans.drop("own"), ["procedure_id", "sample_timestamp"])
+    snapshots.write_snapshot(kept, root, ORPHANS)
+    snapshots.drop_old(spark, root, ORPHANS)
+    return inserted, missing.get["own"]
 
 
 def stage_samples(spark: SparkSession, raw: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
@@ -155,7 +190,14 @@ def load_samples(spark: SparkSession, raw: DataFrame, root: str, now: datetime |
     """
     samples, refused = stage_samples(spark, raw, f"{root}/staged_telemetry/{uuid.uuid4().hex}")
     inserted, orphans = append_samples(spark, samples, root, now)
-    return ("telemetry", SUCCESS, inserted, 0, orphans.count() + refused.count(), "")
+    return ("telemetry", SUCCESS, inserted, 0, orphans + refused.count(), "")
+
+
+def retry_orphans(spark: SparkSession, root: str, now: datetime | None = None) -> tuple:
+    """Append the waiting samples whose procedure has come."""
+    nothing = spark.range(1).where("false").selectExpr(*[f"cast(null as {kind}) as {name}" for name, kind in TELEMETRY_STAGE.items()])
+    inserted, _ = append_samples(spark, nothing, root, now)
+    return ("waiting_telemetry", SUCCESS, inserted, 0, 0, "")
 
 
 def run_pipeline(
@@ -186,13 +228,15 @@ def run_pipeline(
         stages.append(("procedures", lambda: [load_procedures(spark, tables, root, start, end, now)], FAILED))
     if etl_type in ("full", "telemetry") and telemetry is not None:
         stages.append(("telemetry", lambda: [load_samples(spark, telemetry, root, now)], PARTIAL))
+    elif etl_type in ("full", "procedures") and snapshots.committed(spark, root, ORPHANS):
+        stages.append(("waiting_telemetry", lambda: [retry_orphans(spark, root, now)], PARTIAL))
 
     report, status = [], SUCCESS
     for name, run, on_error in stages:
         try:
             report += run()
         except Exception as e:  # noqa: BLE001 - the report carries it
-            report.append((name, "FAILED", 0, 0, 0, str(e)[:2000]))
+            report.append((name, "FAILED", 0, 0, 0, str(e)))
             status = on_error
             break
     total = [sum(row[i] for row in report) for i in (2, 3, 4)]

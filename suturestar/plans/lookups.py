@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from suturestar.functions.measures import average, combine, distinct, partials, rows, summarise
-from suturestar.functions.timekeys import date_key_literal, moment
+from suturestar.functions.timekeys import moment
 from suturestar.operators.quality import row_counts
 from suturestar.plans.star import TABLES, Star
 from suturestar.plans.views import (
@@ -165,8 +165,7 @@ def dashboard(star: Star, as_of, days: int = 30) -> DataFrame:
         average("avg_duration", "duration_minutes", 2),
         average("avg_satisfaction", "patient_satisfaction_score", 2),
     ]
-    first = date_key_literal(as_of - timedelta(days=days))
-    recent = with_start_date(star, star.completed().filter(F.col("start_date_key") >= first))
+    recent = with_start_date(star, star.completed_since(as_of - timedelta(days=days)))
     per_robot = partials(recent, ["robot_key"], measures)
     return combine(per_robot.join(star.dim_robots.select("robot_key"), "robot_key"), [], measures)
 

@@ -28,7 +28,6 @@ from suturestar.functions.measures import (
     rows,
     summarise,
 )
-from suturestar.functions.timekeys import date_key_literal
 from suturestar.plans.star import Star
 from suturestar.plans.views import (
     by_clock,
@@ -44,7 +43,7 @@ from suturestar.plans.views import (
 
 
 def _since(star: Star, first: date) -> DataFrame:
-    return star.completed().filter(F.col("start_date_key") >= date_key_literal(first))
+    return star.completed_since(first)
 
 
 def _success_pct():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +54,13 @@ class Star:
     def completed(self) -> DataFrame:
         return self.fact_procedures.filter(F.col("status") == "completed")
 
+    def completed_since(self, first: date) -> DataFrame:
+        """Completed procedures from a day on; a loaded fact is partitioned by month, which this prunes."""
+        facts, day = self.completed(), first.year * 10000 + first.month * 100 + first.day
+        if "start_month" in facts.columns:
+            facts = facts.filter(F.col("start_month") >= day // 100)
+        return facts.filter(F.col("start_date_key") >= day)
+
     def register(self, spark: SparkSession) -> None:
         """Temp views under the tables' own names, for callers who write SQL."""
         for name in self._tables:

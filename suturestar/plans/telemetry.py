@@ -76,14 +76,17 @@ def flatten_telemetry(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def prune_to_days(existing: DataFrame, stage: DataFrame) -> DataFrame:
-    """`existing` cut to the days the stage touches, when it is partitioned by `sample_date`.
+    """`existing` cut to the days between the stage's first and last, when it is partitioned by `sample_date`.
 
-    The list of days is tiny, so Spark broadcasts it and skips the other partitions at run time.
+    The two days are literals, so that the other partitions are not even listed.
     """
     if "sample_date" not in existing.columns:
         return existing
-    days = stage.select(F.to_date("sample_timestamp").alias("sample_date")).distinct()
-    return existing.join(days, "sample_date", "left_semi")
+    day = F.to_date("sample_timestamp")
+    span = stage.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+    if span["first"] is None:
+        return existing.filter("false")
+    return existing.filter(F.col("sample_date").between(F.lit(span["first"]), F.lit(span["last"])))
 
 
 def load_telemetry(stage: DataFrame, procedures: DataFrame, existing: DataFrame) -> tuple[DataFrame, DataFrame]:

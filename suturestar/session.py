@@ -34,8 +34,18 @@ def _local_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by `spark.checkpoint.dir`; a local one only when it is unset (tests)."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _local_folder()).rstrip("/")
+    """The folder named by `spark.checkpoint.dir`.
+
+    Unset, a temporary folder serves a session whose executors are threads of this process (tests); anywhere
+    else executors would write to disks that others cannot see, so that is an error.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return _local_folder()
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -19,6 +19,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
 def committed(spark: SparkSession, root: str, table: str) -> list[str]:
     """Ids of the table's committed snapshots, oldest first."""
     fs, p = _file_system(spark, f"{root}/{table}")
@@ -34,6 +39,14 @@ def read_snapshot(spark: SparkSession, root: str, table: str) -> DataFrame | Non
     return spark.read.parquet(f"{root}/{table}/snapshot={ids[-1]}") if ids else None
 
 
+def drop_old(spark: SparkSession, root: str, table: str, keep: int = 2) -> list[str]:
+    """Remove all but the newest `keep` committed snapshots; readers of the newest ones are not disturbed."""
+    old = committed(spark, root, table)[: -max(1, keep)]
+    for i in old:
+        remove(spark, f"{root}/{table}/snapshot={i}")
+    return old
+
+
 def write_snapshot(df: DataFrame, root: str, table: str) -> str:
     """Write the next snapshot and return its id."""
     ids = committed(df.sparkSession, root, table)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from suturestar.plans.telemetry import STAGE_COLUMNS
+from suturestar.sources.snapshots import remove
 
 # Keeps microseconds, which Spark's own default drops.
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
@@ -15,13 +16,16 @@ TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 def write_staged_csv(df: DataFrame, root: str, stamp: str, name: str) -> str | None:
     """Pipe-delimited CSV without a header under a date-stamped path; None (nothing written) for no rows."""
-    if df.isEmpty():
-        return None
     path = f"{root.rstrip('/')}/etl-staging/{stamp}/{name}"
-    df.write.mode("overwrite").option("sep", "|").option("nullValue", "").option("emptyValue", "").option(
+    seen = Observation(name)
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("overwrite").option("sep", "|").option("nullValue", "").option("emptyValue", "").option(
         "timestampNTZFormat", TIME_FORMAT
     ).csv(path)
-    return path
+    if seen.get["rows"]:
+        return path
+    remove(df.sparkSession, path)
+    return None
 
 
 def write_telemetry_stage(samples: DataFrame, root: str, stamp: str) -> str | None:

@@ -17,7 +17,7 @@ from suturestar.operators.upsert import fold_updates
 from suturestar.plans.load import append_samples, stage_samples
 from suturestar.plans.telemetry import flatten_telemetry
 from suturestar.schemas import TELEMETRY_DOCUMENT_DDL, nullable, schema_of
-from suturestar.sources.readers import telemetry_options
+from suturestar.sources.readers import CORRUPT, telemetry_options
 from suturestar.sources.snapshots import exists
 
 FILES_PER_TRIGGER = 100
@@ -110,18 +110,30 @@ def stream_ingest(
     available_now: bool = True,
     interval: str = "1 minute",
 ) -> StreamingQuery:
-    """Split incoming records by required fields and land both sides as raw JSON, accepted ones by day."""
+    """Split incoming records, one per line, by required fields; accepted ones land by day exactly as they came.
+
+    Lines that are no telemetry document are rejected as well; every rejected line is kept with its reason.
+    """
+    reader = spark.readStream.option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true")
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        parsed = batch.filter(F.col("_corrupt").isNull()).drop("_corrupt")
-        accepted, rejected = split_required(parsed)
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        lines = batch.filter(F.trim("value") != "")
+        parsed = lines.select("value", F.from_json("value", TELEMETRY_DOCUMENT_DDL, options).alias("d")).select("value", "d.*")
+        whole = parsed.filter(F.col(CORRUPT).isNull())
+        accepted, rejected = split_required(whole)
+        broken = parsed.filter(F.col(CORRUPT).isNotNull()).select(F.lit("malformed document").alias("reason"), "value")
         day = F.to_date(F.col("timestamp").try_cast("timestamp_ntz")).alias("sample_date")
-        accepted.select("*", day).write.mode("overwrite").partitionBy("sample_date").json(
+        accepted.select("value", day).write.mode("overwrite").partitionBy("sample_date").text(
             f"{landing}/telemetry/batch_id={batch_id}"
         )
-        rejected.write.mode("overwrite").json(f"{landing}/rejected/batch_id={batch_id}")
+        rejected.select("reason", "value").unionByName(broken).withColumnRenamed("value", "document").write.mode(
+            "overwrite"
+        ).json(f"{landing}/rejected/batch_id={batch_id}")
 
-    return _start(telemetry_files(spark, path, max_files), sink, checkpoint, available_now, interval)
+    return _start(reader.text(path), sink, checkpoint, available_now, interval)
 
 
 def stream_procedures(
@@ -135,8 +147,8 @@ def stream_procedures(
 ) -> StreamingQuery:
     """Append procedure records to a change log, one directory per batch.
 
-    The table is not rewritten per batch; `current_procedures` folds the log when it is read.  Records
-    carry `recorded_at`, which orders the changes of one procedure.
+    The table is not rewritten per batch; `current_procedures` folds the log when it is read.  Changes of one
+    procedure are ordered by `recorded_at`; records without it by when their file came, which the log keeps.
     """
     schema = nullable(schema_of("surgical_procedures")).add("recorded_at", "timestamp_ntz")
     reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.json")
@@ -144,9 +156,10 @@ def stream_procedures(
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
+        batch.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
 
-    return _start(reader.json(path), sink, checkpoint, available_now, interval)
+    arrived = F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("arrived")
+    return _start(reader.json(path).select("*", arrived), sink, checkpoint, available_now, interval)
 
 
 def current_procedures(spark: SparkSession, log: str, base: DataFrame | None = None) -> DataFrame:
@@ -156,11 +169,15 @@ def current_procedures(spark: SparkSession, log: str, base: DataFrame | None = N
     log's compaction.
     """
     schema = nullable(schema_of("surgical_procedures")).add("recorded_at", "timestamp_ntz")
+    schema = schema.add("arrived", "timestamp_ntz").add("batch", "long")
     changes = (
         spark.read.schema(schema).option("recursiveFileLookup", True).parquet(log)
         if exists(spark, log)
         else spark.createDataFrame([], schema)
     )
     if base is not None:
-        changes = base.withColumn("recorded_at", F.lit(None).cast("timestamp_ntz")).unionByName(changes)
-    return fold_updates(changes, "procedure_id", PROCEDURE_UPDATE_COLUMNS, "recorded_at").drop("recorded_at")
+        changes = base.unionByName(changes, allowMissingColumns=True)
+    # A NULL sorts first, so the base comes before any change.
+    at = F.struct(F.coalesce("recorded_at", "arrived").alias("at"), "batch", "arrived").alias("order__")
+    ordered = changes.select(*[f.name for f in schema_of("surgical_procedures").fields], at)
+    return fold_updates(ordered, "procedure_id", PROCEDURE_UPDATE_COLUMNS, "order__").drop("order__")
