@@ -27,7 +27,8 @@ from suturestar.llm.frames import fresh, kept, read
 
 SHARDS = 8
 TOLERANCE = 0.002
-PROBES_PER_ROUND = 384
+# Few enough for the search among them to stay compiled code.
+PROBES_PER_ROUND = 180
 LOWEST = -(2**63) + 1
 Key = tuple[int, int]
 
@@ -129,8 +130,9 @@ def find_splitters(keys: DataFrame, shards: int, parts: int, tolerance: float) -
     n = shards * parts
     wanted = [Splitter(total * i // n, 0 if i % parts == 0 else max(1, total // n // 4), *span) for i in range(1, n)]
     while open_ := [s for s in wanted if s.at is None]:
-        intervals = {(s.low, s.high): s for s in open_}
-        each = max(2, PROBES_PER_ROUND // len(intervals))
+        intervals = dict(list({(s.low, s.high): s for s in open_}.items())[: PROBES_PER_ROUND // 3])
+        open_ = [s for s in open_ if (s.low, s.high) in intervals]
+        each = max(2, PROBES_PER_ROUND // len(intervals) - 1)
         probes = sorted({p for s in intervals.values() for p in _probes(s, each)})
         cells = _histogram(keys, probes)
         for s in open_:
