@@ -15,9 +15,9 @@ Work per step, none of which lists all pairs of a group:
 3. rounds: each shingle names four leaders among its classes; every other class is verified against the leaders it
    shares enough postings with.  Links merge classes into components (connected components by star operations), and
    classes of one component no longer meet.  So thousands of near copies cost a few verifications each.
-4. when rounds no longer pay, all that is left across components is verified.  Shingles of few classes list their
-   pairs, which are at most SMALL / 2 per posting.  Shingles of many (near misses by the thousand) compare blocks of
-   BLOCK classes by one matrix product; any pair at the threshold shares a shingle of its shortest prefixes, so
+4. when rounds no longer pay, all that is left across components is verified.  Shingles list their pairs across
+   components if those are at most SMALL / 2 per posting.  Shingles of more (near misses by the thousand) compare
+   blocks of BLOCK classes by one matrix product; any pair at the threshold shares a shingle of its shortest prefixes, so
    blocks are needed for those only.  Nothing is capped: every pair at or above the threshold is verified or
    already connected, hence the components are exact (but for 64-bit hash collisions).
 
@@ -205,25 +205,38 @@ def leader_pairs(postings: DataFrame, turn: int) -> DataFrame:
 
 
 def open_postings(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Postings of shingles that still join components: of few classes, and of many."""
-    met = postings.groupBy("token").agg(F.count(F.lit(1)).alias("k"), (F.min("root") != F.max("root")).alias("open"))
-    both = kept(postings.join(met.filter("open").drop("open"), "token"), "open")
-    return both.filter(F.col("k") <= SMALL), both.filter(F.col("k") > SMALL)
+    """Postings of shingles that still join components, with the component (`top`) that most of a shingle's classes
+    are in: those with at most SMALL / 2 pairs across components per posting, and those with more."""
+    per_root = postings.groupBy("token", "root").agg(F.count(F.lit(1)).cast("double").alias("c"))
+    per_token = per_root.groupBy("token").agg(
+        F.sum("c").alias("k"),
+        ((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("across"),
+        F.max(F.struct("c", "root"))["root"].alias("top"),
+    )
+    both = kept(postings.join(per_token.filter("across > 0"), "token"), "open")
+    few = F.col("across") <= F.col("k") * SMALL / 2
+    return both.filter(few), both.filter(~few)
 
 
 def pairs_left(few: DataFrame, many: DataFrame) -> DataFrame:
-    """Every pair of classes of different components that may reach the threshold by shingles of few classes.
+    """Every pair of classes of different components that may reach the threshold by shingles of few such pairs.
 
     Of the matches a pair needs, as many as either class has postings of the other kind may lie there; one shared
-    shingle of the shortest prefixes must be here, or blocks find the pair.
+    shingle of the shortest prefixes must be here, or blocks find the pair.  Of two classes of different components
+    one is outside the shingle's largest component, so only such classes look for partners.
     """
     elsewhere = many.groupBy("class").agg(F.count(F.lit(1)).cast("int").alias("e"))
     few = few.join(elsewhere, "class", "left").withColumn("m", F.greatest(F.lit(1), F.col("m") - F.coalesce("e", F.lit(0))))
-    sides = [few.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("class", "n", "m", "root", "first")]) for side in "xy"]
-    met = sides[0].join(sides[1], "token").filter(
-        (F.col("x_class") < F.col("y_class")) & (F.col("x_root") != F.col("y_root")) & _fits(F.col("x_n"), F.col("y_n"))
+    x, y = (
+        df.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("class", "n", "m", "root", "first", "top")])
+        for side, df in (("x", few.filter("root <> top")), ("y", few))
     )
-    pairs = met.groupBy(F.col("x_class").alias("a"), F.col("y_class").alias("b"), F.col("x_root").alias("ra"), F.col("y_root").alias("rb"))
+    once = (F.col("y_root") == F.col("y_top")) | (F.col("x_class") < F.col("y_class"))
+    met = x.join(y, "token").filter((F.col("x_root") != F.col("y_root")) & once & _fits(F.col("x_n"), F.col("y_n")))
+    # The class with the smaller key first, so that a pair is one group.
+    swap = F.col("x_class") > F.col("y_class")
+    a, b, ra, rb = (F.when(swap, F.col(v)).otherwise(F.col(u)) for u, v in (("x_class", "y_class"), ("y_class", "x_class"), ("x_root", "y_root"), ("y_root", "x_root")))
+    pairs = met.groupBy(a.alias("a"), b.alias("b"), ra.alias("ra"), rb.alias("rb"))
     possible = _enough(F.col("x_m"), F.col("y_m")) & F.bool_or(F.col("x_first") & F.col("y_first"))
     return pairs.agg(possible.alias("possible")).filter("possible").drop("possible")
 
