@@ -110,9 +110,9 @@ def stream_ingest(
     available_now: bool = True,
     interval: str = "1 minute",
 ) -> StreamingQuery:
-    """Split incoming records, one per line, by required fields; accepted ones land by day exactly as they came.
+    """Split incoming records by required fields; accepted ones land by day exactly as they came.
 
-    Lines that are no telemetry document are rejected as well; every rejected line is kept with its reason.
+    A line holds one record or an array of them.  Records that are no telemetry document are rejected as well; every rejected record is kept with its reason.
     """
     reader = spark.readStream.option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true")
     if max_files is not None:
@@ -120,7 +120,9 @@ def stream_ingest(
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-        lines = batch.filter(F.trim("value") != "")
+        array = F.ltrim("value").startswith("[")
+        parts = F.when(array, F.from_json("value", "array<string>"))
+        lines = batch.filter(F.trim("value") != "").select(F.explode(F.coalesce(parts, F.array("value"))).alias("value"))
         parsed = lines.select("value", F.from_json("value", TELEMETRY_DOCUMENT_DDL, options).alias("d")).select("value", "d.*")
         whole = parsed.filter(F.col(CORRUPT).isNull())
         accepted, rejected = split_required(whole)

@@ -151,3 +151,58 @@ def test_lookups(spark, tables):
     assert (costs["r2"].maintenance_count, costs["r2"].total_cost) == (0, None)
     body = writers.envelope(lookups.procedures(tables, limit=2), 2, 0, [F.desc("start_time"), "procedure_id"]).first()
     assert body["count"] == 2 and body.body.index("p2") < body.body.index("p4")
+
+
+def test_untracked_attributes_are_refreshed(spark, tables, tmp_path):
+    """A counter that is not versioned follows the snapshot without a new version."""
+    from suturestar.operators.scd import scd2_merge
+
+    dim = spark.createDataFrame(
+        [("r1", "ok", 5, date(2024, 1, 1), None, True)],
+        "robot_id string, status string, uses int, effective_date date, expiration_date date, is_current boolean",
+    )
+    fresh = spark.createDataFrame([("r1", "ok", 50)], "robot_id string, status string, uses int")
+    got = scd2_merge(dim, fresh, "robot_id", ["status"], date(2024, 2, 1)).collect()
+    assert [(r.uses, r.effective_date, r.is_current) for r in got] == [(50, date(2024, 1, 1), True)]
+
+
+def test_calendar_covers_old_facts(spark, tables, tmp_path):
+    root = str(tmp_path)
+    old = dict(tables)
+    shift = lambda c: (F.col(c) - F.expr("interval 30 years")).alias(c)
+    old["surgical_procedures"] = tables["surgical_procedures"].withColumns({c: shift(c) for c in ("start_time", "end_time")})
+    load.run_pipeline(spark, old, root, "full", date(1994, 1, 1), date(1995, 1, 1), as_of=date(1994, 6, 1), now=NOW)
+    star = load.load_star(spark, root)
+    assert star.fact_procedures.count() > 0
+    per_day = views.vw_daily_procedure_volume(star)
+    done = star.completed().count()
+    assert done > 0 and per_day.agg(F.sum("procedure_count")).first()[0] == done
+    assert star.dim_date.agg(F.min("date"), F.max("date")).first() == (date(1994, 1, 1), date(2029, 12, 31))
+    assert load.load_star(spark, root, date(2024, 1, 1), 10).dim_date.count() == 10
+
+
+def test_windowed_reports_prune_months(spark, tables, tmp_path):
+    from suturestar.plans import reports
+
+    root = str(tmp_path)
+    load.run_pipeline(spark, tables, root, "full", *WINDOW, as_of=date(2024, 6, 1), now=NOW)
+    star = load.load_star(spark, root)
+    for plan in (reports.q12_day_of_week(star, date(2024, 6, 2)), lookups.dashboard(star, date(2024, 6, 2))):
+        text = plan._jdf.queryExecution().toString()
+        assert "PartitionFilters: [isnotnull(start_month" in text
+
+
+def test_an_append_without_rows_blocks_nothing(spark, tables, tmp_path):
+    root = str(tmp_path)
+    empty = load.run_pipeline(spark, tables, root, "full", date(2000, 1, 1), date(2000, 1, 2), as_of=date(2024, 6, 1), now=NOW)
+    assert report(empty)["procedures"][:2] == ("SUCCESS", 0)
+    again = load.run_pipeline(spark, tables, root, "full", *WINDOW, as_of=date(2024, 6, 1), now=NOW)
+    assert report(again)["procedures"][:2] == ("SUCCESS", 3)
+
+
+def test_old_snapshots_can_be_dropped(spark, tmp_path):
+    root = str(tmp_path)
+    for n in (1, 2, 3):
+        snapshots.write_snapshot(spark.range(n), root, "dim_robots")
+    assert snapshots.drop_old(spark, root, "dim_robots") == ["00000001"]
+    assert snapshots.read_snapshot(spark, root, "dim_robots").count() == 3

@@ -158,7 +158,7 @@ def test_ingest_split(spark, folder):
     rejected = spark.read.json(f"{landed}/rejected")
     assert accepted.count() == 5  # 'soon' is present, so it is accepted here and refused by the load
     assert {r.reason for r in rejected.collect()} == {
-        "Missing required field: timestamp", "Missing required field: robot_id",
+        "Missing required field: timestamp", "Missing required field: robot_id", "malformed document",
     }
 
 
@@ -209,4 +209,69 @@ def test_days_are_pruned(spark, tmp_path):
 
     pruned = prune_to_days(existing, stage)
     assert pruned.count() == 1
-    assert "dynamicpruning" in pruned._jdf.queryExecution().toString()
+    plan = pruned._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(sample_date" in plan and "2024-01-02" in plan
+    # The load itself reads no other day to find what is there.
+    from suturestar.plans.telemetry import load_telemetry as joined
+
+    rows, _ = joined(stage, load.read_table(spark, root, "fact_procedures"), existing)
+    assert "PartitionFilters: [isnotnull(sample_date" in rows._jdf.queryExecution().toString()
+
+
+def test_late_procedure_and_empty_first_batch(spark, folder):
+    """Telemetry comes before its procedure: nothing is lost, and an append without rows blocks nothing."""
+    root, source = str(folder / "star"), str(folder / "telemetry")
+    run = lambda: jobs.stream_telemetry(spark, source, root, str(folder / "c"), max_files=1).awaitTermination()
+    run()
+    assert load.read_table(spark, root, "fact_procedure_telemetry").count() == 0
+    waiting = load.waiting_samples(spark, root)
+    assert waiting.filter("procedure_id = 'p1'").count() > 0
+    fact(spark, root, "p1")
+    assert load.retry_orphans(spark, root)[2] > 0
+    late = load.read_table(spark, root, "fact_procedure_telemetry")
+    assert load.waiting_samples(spark, root).filter("procedure_id = 'p1'").count() == 0
+    assert load.retry_orphans(spark, root)[2] == 0
+
+    other = str(folder / "batch_star")
+    fact(spark, other, "p1")
+    load.load_samples(spark, readers.read_telemetry(spark, source), other)
+    batch = load.read_table(spark, other, "fact_procedure_telemetry")
+    same = ["procedure_key", "sample_timestamp", "system_temperature"]
+    assert sorted(map(str, batch.select(*same).collect())) == sorted(map(str, late.select(*same).collect()))
+
+
+def test_waiting_samples_join_a_later_batch(spark, folder):
+    root, source = str(folder / "star"), folder / "telemetry"
+    jobs.stream_telemetry(spark, str(source), root, str(folder / "c")).awaitTermination()
+    fact(spark, root, "p1")
+    (source / "later.json").write_text(json.dumps(at(55)))
+    jobs.stream_telemetry(spark, str(source), root, str(folder / "c")).awaitTermination()
+    rows = load.read_table(spark, root, "fact_procedure_telemetry")
+    assert sorted(r.sample_timestamp.minute for r in rows.collect()) == [30, 31, 34, 38, 55]
+
+
+def test_ingest_keeps_every_record_as_it_came(spark, tmp_path):
+    good = '{"procedure_id": "p1", "robot_id": "r1", "timestamp": "2024-01-15T10:00:00Z", "session": {"n": 2.5}, "lighting_level": 7}'
+    lines = [good, '{"procedure_id": "p1", broken', '{"procedure_id": "p1", "robot_id": "r1", "timestamp": "2024-01-15T10:00:00Z", "arm_position": "nowhere"}', '{"procedure_id": "p2"}', "", f"[{good}, {good}]"]
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.json").write_text("\n".join(lines))
+    landed = str(tmp_path / "landed")
+    jobs.stream_ingest(spark, str(source), landed, str(tmp_path / "c")).awaitTermination()
+    accepted = spark.read.json(f"{landed}/telemetry")
+    assert [(r.session.n, r.lighting_level, str(r.sample_date)) for r in accepted.collect()] == [(2.5, 7, "2024-01-15")] * 3
+    assert good in [r.value for r in spark.read.option("recursiveFileLookup", True).text(f"{landed}/telemetry").collect()]
+    rejected = {r.document: r.reason for r in spark.read.json(f"{landed}/rejected").collect()}
+    assert rejected == {lines[1]: "malformed document", lines[2]: "malformed document", lines[3]: "Missing required field: timestamp"}
+
+
+def test_procedure_changes_in_order_of_arrival(spark, tmp_path):
+    source, log = tmp_path / "in", str(tmp_path / "log")
+    source.mkdir()
+    steps = [{"status": "in_progress", "duration_minutes": 5}, {"status": "completed", "duration_minutes": 90, "end_time": "2024-01-01 12:00:00"}, {"status": "aborted", "duration_minutes": 1}]
+    for n, step in enumerate(steps):
+        (source / f"{n}.json").write_text(json.dumps({"procedure_id": "p1", "procedure_type": f"T{n}", **step}))
+        jobs.stream_procedures(spark, str(source), log, str(tmp_path / "c")).awaitTermination()
+        now = jobs.current_procedures(spark, log).first()
+        assert (now.procedure_type, now.status, now.duration_minutes) == ("T0", step["status"], step["duration_minutes"])
+        assert (now.end_time is not None) == ("end_time" in step)
