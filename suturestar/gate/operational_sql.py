@@ -3,8 +3,18 @@
 from __future__ import annotations
 
 from suturestar.gate.star_sql import CTES, _avg, _hits, _r, with_tables
+from suturestar.operators.quality import UNIQUE
+from suturestar.operators.upsert import OPERATIONAL_LINKS
 from suturestar.plans.dims import FACILITY_SEED
 
+# Which rows the model checks see twice or miss.
+SEEDED_SQL = {
+    "surgical_robots": "(robot_model = 'Model-3')",
+    "robot_maintenance_logs": "(maintenance_type = 'emergency')",
+    "surgical_procedures": "(status = 'aborted')",
+    "procedure_outcomes": "(success_status = 'complicated')",
+}
+
 CTES.update(
     {
         "robots": (
@@ -148,12 +158,13 @@ CTES.update(
             ("fleet_pair",),
             """
             SELECT s_suppkey, robot_id, status, software_version, DATE '1994-01-01' AS effective_date,
-                   CASE WHEN gone THEN DATE '1999-12-31' END AS expiration_date, NOT gone AS is_current, 0 AS n
+                   CASE WHEN gone THEN DATE '1999-12-31' END AS expiration_date, NOT gone AS is_current, 0 AS n,
+                   CASE WHEN in_second AND NOT gone THEN 99 ELSE 0 END AS total_procedures_count
             FROM (SELECT *, in_second AND (status <> status2 OR software_version IS DISTINCT FROM software2) AS gone
                   FROM fleet_pair WHERE in_first)
             UNION ALL
             SELECT s_suppkey, robot_id, status2, software2,
-                   CASE WHEN in_first THEN DATE '2000-01-01' ELSE DATE '1994-01-01' END, NULL, TRUE, 99
+                   CASE WHEN in_first THEN DATE '2000-01-01' ELSE DATE '1994-01-01' END, NULL, TRUE, 99, 99
             FROM fleet_pair
             WHERE in_second AND (NOT in_first OR status <> status2 OR software_version IS DISTINCT FROM software2)""",
         ),
@@ -309,6 +320,24 @@ def quality_sql() -> dict[str, str]:
         WHERE robot_id NOT IN (SELECT robot_id FROM robots)""",
         "procs", "maint", "robots",
     )
+    names = {"surgical_robots": "robots", "robot_maintenance_logs": "maint", "surgical_procedures": "procs", "procedure_outcomes": "outs"}
+    out["val_unique_model"] = with_tables(
+        " UNION ALL ".join(
+            f"SELECT '{table}' AS table_name, '{key}' AS key, {key} AS value, COUNT(*) AS copies FROM (SELECT {key} FROM {names[table]}"
+            f" UNION ALL SELECT {key} FROM {names[table]} WHERE {SEEDED_SQL[table]}) GROUP BY {key} HAVING COUNT(*) > 1"
+            for table, keys in UNIQUE.items()
+            for (key,) in keys
+        ),
+        *names.values(),
+    )
+    out["val_foreign_keys_model"] = with_tables(
+        " UNION ALL ".join(
+            f"SELECT '{child}' AS child, '{key}' AS key, {key} AS value, COUNT(*) AS rows FROM {names[child]} WHERE {key} IS NOT NULL"
+            f" AND {key} NOT IN (SELECT {key} FROM {names[parent]} WHERE {SEEDED_SQL[parent]} IS NOT TRUE) GROUP BY {key}"
+            for parent, child, key in OPERATIONAL_LINKS
+        ),
+        *names.values(),
+    )
     out["val_required_fields"] = with_tables(
         """SELECT CASE WHEN k = 13 THEN 'Missing required field: robot_id' ELSE 'accepted' END AS outcome,
             COUNT(*) AS records FROM docs GROUP BY 1""",
@@ -393,7 +422,9 @@ def etl_sql() -> dict[str, str]:
         "samples", "fact_procedures",
     )
     version = "robot_id, status, software_version, effective_date, expiration_date, is_current"
-    out["scd_changed"] = with_tables(f"SELECT {version} FROM fleet_versions", "fleet_versions")
+    out["scd_changed"] = with_tables(
+        f"SELECT {version}, total_procedures_count FROM fleet_versions", "fleet_versions"
+    )
     out["scd_reference"] = with_tables(
         """SELECT robot_id, status, DATE '1994-01-01' AS effective_date,
             CASE WHEN in_second THEN DATE '1999-12-31' END AS expiration_date, NOT in_second AS is_current

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, timedelta
+from functools import reduce
 
 from dateutil.relativedelta import relativedelta
 from pyspark.sql import DataFrame, SparkSession
@@ -144,6 +145,36 @@ def val_foreign_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Rows that a check of the whole model sees twice, or parents that it misses, so that every rule is broken.
+SEEDED = {
+    "surgical_robots": "robot_model = 'Model-3'",
+    "robot_maintenance_logs": "maintenance_type = 'emergency'",
+    "surgical_procedures": "status = 'aborted'",
+    "procedure_outcomes": "success_status = 'complicated'",
+}
+
+
+def val_unique_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every UNIQUE key of the operational model, over tables in which some rows occur twice."""
+    t, parts = op.OperationalTables(spark, sf_dir), []
+    for table, keys in quality.UNIQUE.items():
+        twice = t[table].unionByName(t[table].filter(SEEDED[table]))
+        for (key,) in keys:
+            bad = quality.unique_violations(twice, [key])
+            parts.append(bad.select(F.lit(table).alias("table_name"), F.lit(key).alias("key"), F.col(key).alias("value"), "copies"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def val_foreign_keys_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every link of the operational model, with some parents missing: broken child rows per missing parent."""
+    t, parts = op.OperationalTables(spark, sf_dir), []
+    for parent, child, key in OPERATIONAL_LINKS:
+        there = t[parent].filter(f"not coalesce({SEEDED[parent]}, false)")
+        bad = quality.foreign_key_violations(t[child], there, key).groupBy(F.col(key).alias("value"))
+        parts.append(bad.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(child).alias("child"), F.lit(key).alias("key"), "value", "rows"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def val_required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted, rejected = quality.split_required(op.telemetry_documents(spark, sf_dir))
     both = accepted.select(F.lit("accepted").alias("outcome")).unionByName(
@@ -161,7 +192,16 @@ def val_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUALITY: dict[str, Query] = {
     f.__name__: f
-    for f in (val_checks, val_not_null, val_unique, val_foreign_keys, val_required_fields, val_versions)
+    for f in (
+        val_checks,
+        val_not_null,
+        val_unique,
+        val_unique_model,
+        val_foreign_keys,
+        val_foreign_keys_model,
+        val_required_fields,
+        val_versions,
+    )
 }
 
 
@@ -183,7 +223,7 @@ def _two_merges(spark: SparkSession, sf_dir: str, mode: str = "changed") -> Data
 
 
 def scd_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs, and the second one again: it must add nothing."""
+    """Two runs, and the second one again: it must add nothing, but refresh the counter."""
     again = scd2_merge(
         _two_merges(spark, sf_dir),
         op.second_fleet(spark, sf_dir),
@@ -192,7 +232,7 @@ def scd_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
         op.SECOND_RUN + timedelta(days=1),
     )
     return again.select(
-        "robot_id", "status", "software_version", "effective_date", "expiration_date", "is_current"
+        "robot_id", "status", "software_version", "effective_date", "expiration_date", "is_current", "total_procedures_count"
     )
 
 
@@ -468,9 +508,10 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
+    star = {**star_sql.view_sql(), **star_sql.report_sql()}
     return {
-        **star_sql.view_sql(),
-        **star_sql.report_sql(),
+        **star,
+        **{name: star[like] for name, (like, _) in storage.LOADED.items()},
         **star_sql.check_sql(),
         **operational_sql.lookup_sql(),
         **operational_sql.quality_sql(),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from suturestar.gate import operational as op
 from suturestar.gate import tables
-from suturestar.plans import etl, load, lookups
+from suturestar.plans import etl, load, lookups, reports, views
 from suturestar.plans.telemetry import STAGE_COLUMNS, flatten_telemetry
 from suturestar.schemas import TELEMETRY_STAGE_DDL, UNKNOWN_KEY, conform
 from suturestar.session import scratch
@@ -217,6 +217,29 @@ def full_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(again).drop("message")
 
 
+def loaded_star(spark: SparkSession, sf_dir: str):
+    """The star that a full load of the operational tables has written, read back."""
+    root = scratch(spark, "star")
+    t = op.OperationalTables(spark, sf_dir).all()
+    load.run_pipeline(spark, t, root, "full", *ALL_TIME, as_of=tables.AS_OF, now=tables.LOAD_TIME)
+    return load.load_star(spark, root)
+
+
+def _on_loaded(build: Callable) -> Query:
+    return lambda spark, sf_dir: _doubles(build(loaded_star(spark, sf_dir)))
+
+
+# Views and reports on what the load wrote; their SQL is that of the adapter's star.
+LOADED: dict[str, tuple[str, Query]] = {
+    "star_v8": ("vw_daily_procedure_volume", _on_loaded(views.vw_daily_procedure_volume)),
+    "star_v9": ("vw_procedures_by_time_of_day", _on_loaded(views.vw_procedures_by_time_of_day)),
+    "star_q03": ("q03_monthly_trend", _on_loaded(lambda s: reports.q03_monthly_trend(s, tables.AS_OF))),
+    "star_q06": ("q06_readmission_by_category", _on_loaded(reports.q06_readmission_by_category)),
+    "star_q12": ("q12_day_of_week", _on_loaded(lambda s: reports.q12_day_of_week(s, tables.AS_OF))),
+    "star_q13": ("q13_time_of_day", _on_loaded(reports.q13_time_of_day)),
+    "star_q14": ("q14_period_growth", _on_loaded(reports.q14_period_growth)),
+}
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -234,4 +257,4 @@ QUERIES: dict[str, Query] = {
         str_procedure_upsert,
         full_load_report,
     )
-}
+} | {name: query for name, (_, query) in LOADED.items()}
