@@ -424,3 +424,29 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text") ->
 
 def op3_adaptive_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
+
+
+OP3_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), places AS (
+  SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS g FROM places
+), sizes AS (
+  SELECT doc_id, COUNT(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, COUNT(*) AS c FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)
+), ways AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach(a, b) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT a, y FROM reach JOIN ways ON b = x
+)
+SELECT d.doc_id, CAST(COALESCE(MAX(n), 0) AS BIGINT) AS n_shingles, CAST(MIN(b) AS BIGINT) AS component_id
+FROM documents d JOIN reach ON a = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+"""

@@ -10,7 +10,7 @@ from suturestar.llm.bpe import op8_pair_index_bpe
 from suturestar.llm.decontaminate import op1_wand_decontamination
 from suturestar.llm.frames import importable
 from suturestar.llm.html_text import op6_recurrent_html_text
-from suturestar.llm.ngram_join import op3_adaptive_prefix_join
+from suturestar.llm.ngram_join import OP3_SQL, op3_adaptive_prefix_join
 from suturestar.llm.pii import op7_weak_supervision_pii
 from suturestar.llm.quality import op5_pu_quality
 from suturestar.llm.sharding import op9_histogram_shards
@@ -46,4 +46,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_va_file_top_k": OP2_SQL}
+    return {"op2_va_file_top_k": OP2_SQL, "op3_adaptive_prefix_join": OP3_SQL}
