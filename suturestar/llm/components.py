@@ -36,4 +36,4 @@ def components(edges: DataFrame) -> DataFrame:
         if state == seen:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
         seen = state
-        now = kept(_small_star(_large_star(now).distinct()).distinct(), "edges")
+        now = kept(_small_star(_large_star(now)).distinct(), "edges")

@@ -12,7 +12,7 @@ Work per step, none of which lists all pairs of a group:
 1. one pass hashes all texts into (id, set size, set key) and the frequent shingles' counts.  Equal sets are one
    class from here on.
 2. one pass emits prefix postings of each class; those that no other class has are dropped.
-3. rounds: each shingle names four leaders among its classes; every other class is verified against the leaders it
+3. rounds: each of a share of the shingles names four leaders among its classes; every other class is verified against the leaders it
    shares enough postings with.  Links merge classes into components (connected components by star operations), and
    classes of one component no longer meet.  So thousands of near copies cost a few verifications each.
 4. when rounds no longer pay, all that is left across components is verified.  Shingles list their pairs across
@@ -48,6 +48,8 @@ LEVELS = (1, 2, 3, 4, 6, 8)
 RARE_LOAD = 0.05
 VERIFY_PRICE = 50.0
 LEADERS = 4
+# Leader rounds only have to merge most of what is alike, so each looks at one in SHARE shingles.
+SHARE = 4
 SLICE_ROWS = 512
 KEPT_SETS = 4 << 20
 BITS = 4
@@ -187,7 +189,10 @@ def _enough(a: Column, b: Column) -> Column:
 
 
 def leader_pairs(postings: DataFrame, turn: int) -> DataFrame:
-    """Pairs of a class with a leader of another component: a, b and their components ra, rb."""
+    """Pairs of a class with a leader of another component: a, b and their components ra, rb.
+
+    `postings` are a share of all, so a share of the matches is asked for.
+    """
 
     def pick(j: int) -> Column:
         order = F.xxhash64("class", F.lit(turn * LEADERS + j))
@@ -201,7 +206,8 @@ def leader_pairs(postings: DataFrame, turn: int) -> DataFrame:
     met = postings.join(leaders.filter("open").drop("open"), "token").select("class", "n", "m", "root", F.explode("leaders").alias("to"))
     met = met.filter((F.col("to.root") != F.col("root")) & _fits(F.col("to.n"), F.col("n")))
     pairs = met.groupBy(F.col("to.class").alias("a"), F.col("class").alias("b"), F.col("to.root").alias("ra"), F.col("root").alias("rb"))
-    return pairs.agg(_enough(F.col("to.m"), F.col("m")).alias("enough")).filter("enough").drop("enough")
+    enough = F.count(F.lit(1)) * SHARE >= F.min(F.least("to.m", "m"))
+    return pairs.agg(enough.alias("enough")).filter("enough").drop("enough")
 
 
 def open_postings(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -405,10 +411,14 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text") ->
         roots = kept(moved.select("class", F.coalesce("to", "root").alias("root")), "roots")
         return True
 
-    total, turn, across = postings.count(), 0, _pairs_across(postings.join(roots, "class"))
+    def share(turn: int) -> DataFrame:
+        """Every SHARE-th shingle's postings, other ones in each round, with the classes' components."""
+        return postings.filter(F.pmod(F.xxhash64("token", F.lit(turn)), F.lit(SHARE)) == 0).join(roots, "class")
+
+    total, turn, across = postings.count(), 0, SHARE * _pairs_across(share(0))
     while across > max(total, 10_000):
-        merged = merge(links(kept(leader_pairs(postings.join(roots, "class"), turn), "pairs"), texts))
-        before, across, turn = across, _pairs_across(postings.join(roots, "class")), turn + 1
+        merged = merge(links(kept(leader_pairs(share(turn), turn), "pairs"), texts))
+        before, across, turn = across, SHARE * _pairs_across(share(turn)), turn + 1
         if not merged or across > PAYS * before:
             break
     few, many = open_postings(postings.join(roots, "class"))
