@@ -31,6 +31,9 @@ HEADLINE = (
         "ups_procedures",
         "key_dense",
         "full_load_report",
+        "star_q12",
+        "a1_robots",
+        "a2_robot_detail",
     ]
 )
 

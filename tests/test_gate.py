@@ -1,6 +1,8 @@
 """Every registered query against its oracle SQL, on the smallest tables."""
 
+import importlib.util
 import os
+import sys
 
 import pytest
 
@@ -33,3 +35,11 @@ def test_entry_returns_the_top_robots(spark):
     rows = entry.entry(spark).collect()
     assert 0 < len(rows) <= 10
     assert [r.procedure_count for r in rows] == sorted((r.procedure_count for r in rows), reverse=True)
+
+
+def test_stands_alone_without_the_training_part(monkeypatch):
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    spec = importlib.util.spec_from_file_location("entry_alone", entry.__file__)
+    alone = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(alone)
+    assert alone.llm is None and set(alone.queries()) == set(NAMES) == set(alone.oracle_sql())
