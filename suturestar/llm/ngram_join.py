@@ -170,9 +170,14 @@ def shared_postings(docs: DataFrame, sketch: DataFrame) -> DataFrame:
     where = F.when(F.col("frequent"), F.xxhash64("token", "class")).otherwise(F.col("token"))
     grouped = postings.withColumn("where", where)
     window = F.expr("min(class) OVER (PARTITION BY where) <> max(class) OVER (PARTITION BY where)")
-    shared = grouped.withColumn("shared", window).filter("frequent OR shared").select("token", "class", "n", "m", "first")
-    # A class with fewer shared postings than it asks for can meet nobody.
-    possible = shared.withColumn("held", F.expr("count(1) OVER (PARTITION BY class)")).filter("held >= m").drop("held")
+    # The fewest matches that any class of the shingle asks for; those of frequent shingles are not together, so one.
+    fewest = F.expr("IF(frequent, 1Y, min(m) OVER (PARTITION BY where))")
+    shared = grouped.withColumn("shared", window).withColumn("fewest", fewest).filter("frequent OR shared")
+    # A pair asks for the smaller m of its two classes.  A class with fewer shared postings than any class it shares
+    # one with asks for, itself included, can meet nobody.
+    needed = F.expr("min(fewest) OVER (PARTITION BY class)")
+    held = shared.withColumn("held", F.expr("count(1) OVER (PARTITION BY class)")).withColumn("needed", needed)
+    possible = held.filter("held >= needed").select("token", "class", "n", "m", "first")
     return kept(possible, "postings")
 
 

@@ -69,6 +69,29 @@ def test_equals_brute_force(spark, monkeypatch, small, block, threshold):
     assert [r.component_id for r in got if r.doc_id is None] == [None]
 
 
+@pytest.mark.parametrize("longer", ["{} extra", "extra {}"])
+def test_a_pair_needs_the_smaller_number_of_matches(spark, longer):
+    """The longer text asks for two matches and shares one posting; its partner asks for one."""
+    text = "one two three four five six seven eight"
+    rows = [(1, text), (2, longer.format(text)), (3, "nothing like the others in any of its words at all")]
+    assert _brute(rows)[2] == (5, 1)
+    got = nj.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == _brute(rows)
+
+
+def test_short_texts_equal_brute_force(spark):
+    """Texts of a few words with words added or cut off at the ends."""
+    rng, rows = random.Random(8), []
+    for i in range(150):
+        base = [f"v{i}x{k}" for k in range(rng.randint(5, 30))]
+        rows.append(base)
+        rows += [[f"y{i}x{k}x{j}" for j in range(rng.randint(0, 2))] + base + [f"z{i}x{k}x{j}" for j in range(rng.randint(0, 2))] for k in range(rng.randint(1, 2))]
+    rng.shuffle(rows)
+    rows = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    got = nj.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == _brute(rows)
+
+
 def test_odd_rows(spark, odd_documents):
     got = nj.near_duplicates(odd_documents)
     assert got.columns == ["doc_id", "n_shingles", "component_id"] and got.count() == odd_documents.count()
