@@ -4,8 +4,10 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 one's input.  All but the last return the columns of documents.  Every stage's decisions take effect on all rows:
 
 * quality: documents scored below 0.3 go.  The classifier learns from the labels of sf_dir.
-* near_duplicates: of documents that shared word shingles connect, the one with the smallest id stays; rows without
-  an id are no duplicates, and of rows that repeat an id the one with the smallest text stays.
+* near_duplicates: of documents that shared word shingles connect, the one with the smallest id stays.  Rows that
+  repeat an id are documents of their own: unlinked ones all stay, of linked ones the set of shingles with the
+  smallest key, and of rows with equal sets the one with the smallest text.  Rows without an id are no duplicates, rows
+  without words only of rows with the same id and text.
 * decontamination: documents that hold a benchmark item go.
 * personal_data: spans are replaced by their kind in brackets.
 * encoding: adds token ids, and the text they decode to.
@@ -20,12 +22,14 @@ from suturestar.llm import pii
 from suturestar.llm.bpe import decode, encode
 from suturestar.llm.decontaminate import decontaminated
 from suturestar.llm.frames import fresh, importable, read
-from suturestar.llm.ngram_join import near_duplicates
+from suturestar.llm.ngram_join import class_key, first_classes
 from suturestar.llm.quality import KEEP, fit, scored
 from suturestar.session import scratch
 
 # SQL has no classifier; the tests compare each stage with plain Python.
 ORACLE_SQL = None
+# What op3 takes for a part of a word.
+WORD = r"[^\x20\x09-\x0D]"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,12 +41,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
-    place = fresh("place")
-    firsts = near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    one = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    named = docs.filter("doc_id IS NOT NULL").join(firsts, "doc_id", "left_semi")
-    kept = named.withColumn(place, one).filter(F.col(place) == 1).drop(place)
-    return kept.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    place, key = fresh("place"), fresh("class")
+    firsts = first_classes(docs).withColumnRenamed("class", key)
+    has_words = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    keyed = docs.filter(F.col("doc_id").isNotNull() & has_words).withColumn(key, class_key(F.col("text")))
+    one = F.row_number().over(Window.partitionBy("doc_id", key).orderBy("text"))
+    kept = keyed.withColumn(place, one).filter(F.col(place) == 1).join(firsts, ["doc_id", key])
+    wordless = docs.filter(F.col("doc_id").isNotNull() & ~has_words).dropDuplicates(["doc_id", "text"])
+    return kept.select(*docs.columns).unionByName(wordless).unionByName(docs.filter("doc_id IS NULL"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -395,8 +395,19 @@ def links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return with_both(near, "text").mapInArrow(_verify, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> DataFrame:
-    """For every row: id, n_shingles, component_id (the smallest id reachable by links)."""
+def class_key(text: Column) -> Column:
+    """The key of a text's shingle set, which equal sets share; 0 without words."""
+
+    @F.arrow_udf("long")
+    def key(texts: pa.Array) -> pa.Array:
+        rows = pa.RecordBatch.from_arrays([texts], names=["text"])
+        return pa.array([set_key(s) for part in _slices([rows]) for s in shingle_sets(_texts(part))], pa.int64())
+
+    return key(text)
+
+
+def _connected(docs: DataFrame, id_: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Every row's id, n and class; and every class with words, its smallest id and its component's root."""
     plain = docs.select(F.col(id_).cast("long").alias("id"), F.col(text).alias("text"))
     sketch = kept(plain.mapInArrow(_sketch, SKETCH), "shingles")
     sets = sketch.filter("kind = 0").select("id", "n", F.col("key").alias("class"))
@@ -404,7 +415,9 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text") ->
     postings = shared_postings(plain, sketch)
     roots = kept(postings.select("class").distinct().withColumn("root", F.col("class")), "roots")
     wanted = classes.join(roots, "class").select("id", "class")
-    texts = kept(plain.join(wanted, "id").select("class", "text").mapInArrow(_own_text, "class long, text string, n int, bits binary"), "texts")
+    # By id and class: a repeated id may have many of both.
+    own = plain.withColumn("class", class_key(F.col("text"))).join(wanted, ["id", "class"])
+    texts = kept(own.select("class", "text").mapInArrow(_own_text, "class long, text string, n int, bits binary"), "texts")
 
     def merge(edges: DataFrame) -> bool:
         """Merge components along the edges; whether there were any."""
@@ -429,7 +442,19 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text") ->
     few, many = open_postings(postings.join(roots, "class"))
     merge(links(kept(pairs_left(few, many), "pairs"), texts).unionByName(block_links(many, texts)))
 
-    reached = classes.join(roots, "class", "left").select("class", "id", F.coalesce("root", "class").alias("root"))
+    return sets, classes.join(roots, "class", "left").select("class", "id", F.coalesce("root", "class").alias("root"))
+
+
+def first_classes(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> DataFrame:
+    """For every component the smallest id and, of its classes with that id, the one with the smallest key."""
+    _, reached = _connected(docs, id_, text)
+    best = reached.groupBy("root").agg(F.min(F.struct("id", "class")).alias("best"))
+    return best.select(F.col("best.id").alias(id_), F.col("best.class").alias("class"))
+
+
+def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> DataFrame:
+    """For every row: id, n_shingles, component_id (the smallest id reachable by links)."""
+    sets, reached = _connected(docs, id_, text)
     least = reached.groupBy("root").agg(F.min("id").alias("component_id"))
     named = reached.join(least, "root").select("class", "component_id")
     out = sets.join(named, "class", "left")

@@ -86,5 +86,14 @@ def test_odd_rows_pass_every_stage(spark, sf_dir, tmp_path):
         assert kept in ([], [(False, 1), (False, 3), (False, 4), (True, 0), (True, 0)])
 
 
+def test_rows_of_one_id_are_duplicates_only_if_linked(spark, sf_dir):
+    a, b = "alpha beta gamma delta epsilon zeta eta theta", "one two three four five six seven eight nine ten"
+    rows = [(1, a), (1, b), (1, a), (1, a + " iota"), (2, a.upper()), (3, b + " eleven"), (4, None), (4, ""), (4, None), (4, "\t")]
+    got = [(r.doc_id, r.text) for r in cp.near_duplicate(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf_dir).collect()]
+    assert sorted(r for r in got if r[0] == 4 and r[1] is not None) == [(4, ""), (4, "\t")] and got.count((4, None)) == 1
+    worded = [r for r in got if r[0] != 4]
+    assert len(worded) == 2 and (1, b) in worded and {(1, a), (1, a + " iota")} & set(worded)
+
+
 def test_run(spark, sf_dir, stages):
     assert _ids(cp.run(spark, sf_dir)) == _ids(stages["encoding"][1])
