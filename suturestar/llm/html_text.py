@@ -11,7 +11,8 @@ names are set around and into them, so that the labeller learns the names and th
 It never sees the teacher's verdict on the page it labels.
 
 Character references are decoded, white space inside a block becomes one space, empty blocks go.  Comments, scripts,
-styles, templates and the head hold no text.  Unclosed and stray tags are closed as browsers do for paragraphs, list
+styles, templates, the head, and closed noscript, svg, iframe, object and canvas elements hold no text; never closed,
+the latter and templates hide nothing.  The head ends at the first tag or text that cannot stand in it.  Unclosed and stray tags are closed as browsers do for paragraphs, list
 items and table cells.  Null, empty or textless pages give the empty text.  Repeated rows are labelled each; input
 columns named like an output column are replaced.  Without any page to learn from all blocks count as main text.
 """
@@ -51,7 +52,8 @@ BLOCKS = frozenset(
     "textarea tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style template noscript head svg math iframe object canvas".split())
+SKIPPED = frozenset("script style template noscript svg iframe object canvas".split())
+IN_HEAD = frozenset("head html title meta link base basefont bgsound style script noscript noframes template".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HOLDS = frozenset("ul ol dl table div section article aside nav main body form select".split())
 # What names say about a part (fixed values).
@@ -61,7 +63,11 @@ TEACHER_NAMES = frozenset(
     "form gdpr login menu modal nav navbar navigation newsletter notice popup promo promoted related reply respond share sharing "
     "sidebar signup social sponsor sponsored subscribe toc toolbar widget".split()
 )
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+# A quote counts only right after an attribute's equals sign.
+VALUES = r"""(?>[^>=]++|=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*)|=)*+"""
+TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)({VALUES})>", re.S)
+SKIPPED_TAG = re.compile(rf"<(/?)(template|noscript|svg|iframe|object|canvas)(?=[\s/>])({VALUES})>", re.I)
+RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in ("script", "style", "title")}
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 
 
@@ -82,6 +88,20 @@ def _names(attributes: str) -> tuple[str, ...]:
     return tuple(found)
 
 
+def _ends(page: str) -> dict[int, int]:
+    """Where each skipped element that is closed ends, by where it starts."""
+    out: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    for m in SKIPPED_TAG.finditer(page):
+        above = opened.setdefault(m[2].lower(), [])
+        if not m[1]:
+            if not m[3].endswith("/"):
+                above.append(m.start())
+        elif above:
+            out[above.pop()] = m.end()
+    return out
+
+
 def blocks(page: str | None) -> list[Block]:
     """The leaf blocks of a page in order."""
     page = page or ""
@@ -109,30 +129,35 @@ def blocks(page: str | None) -> list[Block]:
             if path[i][0] in until:
                 return
 
-    at, skip = 0, ""
-    for m in TAG.finditer(page):
-        if m.start() < at:
-            continue
-        if not skip and m.start() > at:
-            parts.append(page[at : m.start()])
-            linked += links and m.start() - at
+    at, head, ends = 0, False, None
+    while m := TAG.search(page, at):
+        if m.start() > at:
+            head = head and not page[at : m.start()].strip()
+            if not head:
+                parts.append(page[at : m.start()])
+                linked += links and m.start() - at
         at = m.end()
         if m[2] is None:
             continue
         tag, ending = m[2].lower(), m[1] == "/"
-        if tag == "body":
-            skip = ""
-        if skip:
-            if ending and tag == skip:
-                skip = ""
+        if tag == "head":
+            flush()
+            head = not ending
+            continue
+        # The first tag that cannot stand in the head ends it, also without </head> and <body>.
+        head = head and (tag in IN_HEAD or ending and tag != "body")
+        if tag in ("script", "style") or head and tag == "title":
+            if not ending and not m[3].endswith("/"):
+                stop = RAW_END[tag].search(page, at)
+                at = stop.end() if stop else at if tag == "title" else len(page)
             continue
         if tag in SKIPPED:
             if not ending and not m[3].endswith("/"):
-                flush() if tag == "head" else None
-                skip = tag
-                if tag in ("script", "style"):
-                    stop = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-                    at, skip = (stop.end(), "") if stop else (len(page), "")
+                ends = _ends(page) if ends is None else ends
+                # One that is never closed is read on as if its tag were not there.
+                at = ends.get(m.start(), at)
+            continue
+        if head:
             continue
         if tag == "br":
             parts.append(" ")
@@ -153,7 +178,7 @@ def blocks(page: str | None) -> list[Block]:
         elif tag not in VOID:
             names = _names(m[3])
             path.append((tag, names))
-    if not skip and at < len(page):
+    if at < len(page) and not (head and not page[at:].strip()):
         parts.append(page[at:])
     flush()
     return out

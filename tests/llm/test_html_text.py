@@ -83,6 +83,28 @@ def test_blocks(page, want):
     assert [b.text for b in h.blocks(page)] == want
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<head><title>T</title><article><p>a</article>", ["a"]),
+        ("<html><head><meta charset=x><title>the <div> tag</title><script>x='<div>'</script><noscript><p>n</p></noscript><p>a", ["a"]),
+        ("<head><title>T</title>plain <p>a", ["plain", "a"]), ("<head><title>T</title></head>a", ["a"]), ("<head><title>T</title><body>a", ["a"]),
+        ("<noscript>x<p>a</p>", ["x", "a"]), ("<p>a<svg><p>b<svg>c</svg>d", ["a", "bd"]), ("<p>a</p><object><param><p>b</p>", ["a", "b"]),
+        ("<canvas>x<canvas>y</canvas>z</canvas>a", ["a"]), ("<p>a<svg/>b", ["ab"]), ("<p>a<script>x <!-- y</script> b<p>c <!-- z -->", ["a b", "c"]),
+        ("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p>", ["so x=1 holds"]),
+        ("<p title=Bob's>First paragraph. Don't stop</p>", ["First paragraph. Don't stop"]), ("<p don't>a<p title=\"a>b\" class='c>d'>e", ["a", "e"]),
+        ("<p title=\"open>a</p>", ["a"]), ("<a href=?q=\"x>a</a> \"b\"", ['a "b"']),
+    ],
+)
+def test_no_text_is_lost_to_open_elements_and_quotes(page, want):
+    assert [b.text for b in h.blocks(page)] == want
+
+
+def test_tags_without_an_end_take_linear_time():
+    h.blocks("<p>a</p>" + "<a " + 'x="1" ' * 5000)
+    h.blocks("<svg><p>a" * 20000)
+
+
 def test_odd_rows(spark):
     rows = [(1, "u", None, "old"), (2, None, "", "old"), (3, "u", "<body></body>", None), (None, "u", "<main><p>a</p></main>", "old"), (3, "u", "<body></body>", None)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
