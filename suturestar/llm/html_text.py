@@ -6,7 +6,7 @@ words; a few shares) and labels every block with the whole page in view.  Blocks
 
 No page is labelled, so the labeller is trained on what mark-up says by itself: pages with an article or main element
 whose other parts are named (navigation, asides, forms, comments and so on; see TEACHER).  At most `pages` of them,
-drawn by a hash, are used as they are and rearranged: their blocks are put into other containers and parts of other
+all different and drawn by a hash, are used as they are and rearranged: their blocks are put into other containers and parts of other
 names are set around and into them, so that the labeller learns the names and the surroundings, not one template.
 It never sees the teacher's verdict on the page it labels.
 
@@ -465,11 +465,10 @@ def lesson(pages: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]
 
 def fit(pages: DataFrame, limit: int = PAGES, page: str = "html") -> dict[str, np.ndarray] | None:
     """A labeller trained on at most `limit` pages, which bounds what the driver takes."""
-    chosen = pages.select(F.col(page).alias("html"), F.xxhash64(page).alias("h")).filter(F.length("html") > 0)
-    # About three times as many by their hash, so that not every task sends its own best to the driver.
-    share = min(1.0, 3 * limit / max(1, chosen.count()))
-    near = chosen.filter(F.pmod("h", F.lit(1 << 20)) < share * (1 << 20))
-    rows = near.orderBy("h", "html").limit(limit).collect()
+    able = pages.select(F.col(page).alias("html"), F.xxhash64(page).alias("h")).filter(F.col("html").rlike(r"(?i)<(article|main)[\s/>]"))
+    # Copies and pages that name no main part take no place; tasks send hashes only.
+    drawn = [r.h for r in able.select("h").distinct().orderBy("h").limit(limit).collect()]
+    rows = sorted(able.filter(F.col("h").isin(drawn)).groupBy("h").agg(F.min("html").alias("html")).collect())
     xs, ys = lesson([r.html for r in rows])
     return train(xs, ys) if xs else None
 

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from suturestar.llm import html_text as h
 
@@ -111,3 +112,14 @@ def test_odd_rows(spark):
     got = df.withColumn("text", h.extracted(df.html, h.fit(df))).collect()
     assert [r.text for r in got[:3]] == ["", "", ""] and len(got) == 5
     assert h.fit(df.limit(0)) is None and h.main_texts(None, ["<p>a<nav>b</nav>"]) == ["a\n\nb"]
+
+
+def test_copies_and_pages_without_a_main_part_take_no_training_place(spark, monkeypatch):
+    bare = spark.range(50).selectExpr("concat('<p>bare ', id, '</p>') AS html")
+    first = bare.orderBy(F.xxhash64("html")).first().html
+    taught = [f"<article><p>page {k}</p></article>" for k in range(3)]
+    df = spark.createDataFrame([(x,) for x in [first] * 60 + taught * 4 + [None, ""]], "html string")
+    seen = []
+    monkeypatch.setattr(h, "lesson", lambda pages: seen.extend(pages) or ([], []))
+    h.fit(df, limit=30)
+    assert sorted(seen) == taught
