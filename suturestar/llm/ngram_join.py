@@ -395,6 +395,12 @@ def links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return with_both(near, "text").mapInArrow(_verify, "u long, v long")
 
 
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _slices(batches):
+        keys = pa.array(map(set_key, shingle_sets(_texts(batch))), pa.int64())
+        yield pa.RecordBatch.from_arrays([*batch.columns, keys], names=["id", "text", "class"])
+
+
 def class_key(text: Column) -> Column:
     """The key of a text's shingle set, which equal sets share; 0 without words."""
 
@@ -416,7 +422,7 @@ def _connected(docs: DataFrame, id_: str, text: str) -> tuple[DataFrame, DataFra
     roots = kept(postings.select("class").distinct().withColumn("root", F.col("class")), "roots")
     wanted = classes.join(roots, "class").select("id", "class")
     # By id and class: a repeated id may have many of both.
-    own = plain.withColumn("class", class_key(F.col("text"))).join(wanted, ["id", "class"])
+    own = plain.mapInArrow(_keyed, "id long, text string, class long").join(wanted, ["id", "class"])
     texts = kept(own.select("class", "text").mapInArrow(_own_text, "class long, text string, n int, bits binary"), "texts")
 
     def merge(edges: DataFrame) -> bool:
