@@ -10,9 +10,11 @@ from suturestar.llm.bpe import op8_pair_index_bpe
 from suturestar.llm.decontaminate import op1_wand_decontamination
 from suturestar.llm.frames import importable
 from suturestar.llm.html_text import op6_recurrent_html_text
+from suturestar.llm.merkle import OP12_SQL, op12_merkle_manifest
 from suturestar.llm.ngram_join import OP3_SQL, op3_adaptive_prefix_join
 from suturestar.llm.pii import op7_weak_supervision_pii
 from suturestar.llm.quality import op5_pu_quality
+from suturestar.llm.resample import OP11_SQL, op11_importance_resampling
 from suturestar.llm.sharding import op9_histogram_shards
 from suturestar.llm.token_counts import op4_edit_aware_token_counts
 from suturestar.llm.token_files import op10_hash_indexed_ids
@@ -30,6 +32,8 @@ QUERIES = (
     op8_pair_index_bpe,
     op9_histogram_shards,
     op10_hash_indexed_ids,
+    op11_importance_resampling,
+    op12_merkle_manifest,
 )
 
 
@@ -46,4 +50,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_va_file_top_k": OP2_SQL, "op3_adaptive_prefix_join": OP3_SQL}
+    return {"op2_va_file_top_k": OP2_SQL, "op3_adaptive_prefix_join": OP3_SQL, "op11_importance_resampling": OP11_SQL, "op12_merkle_manifest": OP12_SQL}

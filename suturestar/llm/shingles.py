@@ -1,6 +1,6 @@
 """Sets of hashed word shingles, computed for many texts at once.
 
-Words are runs of anything but ASCII white space, with A-Z lowered; a shingle is WORDS words in a row.  A text with
+Words are runs of anything but ASCII white space, with A-Z lowered; a shingle is WORDS (or another number of) words in a row.  A text with
 fewer words has its whole sequence as its one shingle, a text without words has none.  Shingles are compared by a
 64-bit hash: a word's hash is a polynomial over random values of its bytes, a shingle's mixes its words' in order.
 """
@@ -54,7 +54,7 @@ def _folded(parts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _chunk(texts: list[bytes]) -> list[np.ndarray]:
+def _chunk(texts: list[bytes], words: int) -> list[np.ndarray]:
     data = np.frombuffer(b"\n".join(texts), np.uint8)
     begins = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
     if not len(data):
@@ -62,11 +62,11 @@ def _chunk(texts: list[bytes]) -> list[np.ndarray]:
     start, word = _words(data)
     first = np.searchsorted(start, begins)
     last = np.append(first[1:], len(start))
-    rows = _folded([word[i : len(word) - WORDS + 1 + i] for i in range(WORDS)]) if len(word) >= WORDS else word[:0]
+    rows = _folded([word[i : len(word) - words + 1 + i] for i in range(words)]) if len(word) >= words else word[:0]
     out = []
     for a, b in zip(first.tolist(), last.tolist()):
-        if b - a >= WORDS:
-            s = np.sort(rows[a : b - WORDS + 1])
+        if b - a >= words:
+            s = np.sort(rows[a : b - words + 1])
             out.append(s[np.concatenate(([True], s[1:] != s[:-1]))])
         elif b > a:
             out.append(_folded([word[i : i + 1] for i in range(a, b)]))
@@ -75,7 +75,7 @@ def _chunk(texts: list[bytes]) -> list[np.ndarray]:
     return out
 
 
-def shingle_sets(texts: list[bytes | None]) -> list[np.ndarray]:
+def shingle_sets(texts: list[bytes | None], words: int = WORDS) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of every text (UTF-8)."""
     out: list[np.ndarray] = []
     part: list[bytes] = []
@@ -83,11 +83,11 @@ def shingle_sets(texts: list[bytes | None]) -> list[np.ndarray]:
     for t in texts:
         t = (t or b"").lower()
         if part and size + len(t) > CHUNK:
-            out += _chunk(part)
+            out += _chunk(part, words)
             part, size = [], 0
         part.append(t)
         size += len(t) + 1
-    return out + _chunk(part) if part else out
+    return out + _chunk(part, words) if part else out
 
 
 def set_key(s: np.ndarray) -> int:
