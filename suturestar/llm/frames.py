@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,3 +40,16 @@ def once(value: Column, use) -> Column:
 def fresh(prefix: str) -> str:
     """A column name that no input has."""
     return f"{prefix}_{uuid.uuid4().hex[:12]}"
+
+
+def sliced(batches: Iterator[pa.RecordBatch], size: int, *columns: str) -> Iterator[pa.RecordBatch]:
+    """Batches cut into slices whose values in the string columns take about `size` bytes, or one row if that is longer."""
+    for batch in batches:
+        lengths = [pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns]
+        total = np.cumsum(np.sum(lengths, axis=0))
+        at = 0
+        while at < batch.num_rows:
+            base = int(total[at - 1]) if at else 0
+            end = max(at + 1, int(np.searchsorted(total, base + size, "right")))
+            yield batch.slice(at, end - at)
+            at = end

@@ -11,6 +11,7 @@ from suturestar.llm.decontaminate import op1_wand_decontamination
 from suturestar.llm.frames import importable
 from suturestar.llm.html_text import op6_recurrent_html_text
 from suturestar.llm.merkle import OP12_SQL, op12_merkle_manifest
+from suturestar.llm.minhash import OP13_SQL, op13_minhash_near_dedup
 from suturestar.llm.ngram_join import OP3_SQL, op3_adaptive_prefix_join
 from suturestar.llm.pii import op7_weak_supervision_pii
 from suturestar.llm.quality import op5_pu_quality
@@ -34,6 +35,7 @@ QUERIES = (
     op10_hash_indexed_ids,
     op11_importance_resampling,
     op12_merkle_manifest,
+    op13_minhash_near_dedup,
 )
 
 
@@ -50,4 +52,10 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_va_file_top_k": OP2_SQL, "op3_adaptive_prefix_join": OP3_SQL, "op11_importance_resampling": OP11_SQL, "op12_merkle_manifest": OP12_SQL}
+    return {
+        "op2_va_file_top_k": OP2_SQL,
+        "op3_adaptive_prefix_join": OP3_SQL,
+        "op11_importance_resampling": OP11_SQL,
+        "op12_merkle_manifest": OP12_SQL,
+        "op13_minhash_near_dedup": OP13_SQL,
+    }

@@ -30,11 +30,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from suturestar.llm.frames import kept, read
+from suturestar.llm.frames import kept, read, sliced
 
 BUCKETS = 10_000
 LONGEST = 1
@@ -92,23 +91,11 @@ def feature_buckets(text: bytes | None, buckets: int, longest: int, known: dict[
     return n, (found % np.uint32(buckets)).astype(np.int32)
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches cut by the bytes of their texts."""
-    for batch in batches:
-        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-        at = 0
-        while at < batch.num_rows:
-            base = int(sizes[at - 1]) if at else 0
-            end = max(at + 1, int(np.searchsorted(sizes, base + SLICE_BYTES, "right")))
-            yield batch.slice(at, end - at)
-            at = end
-
-
 def _featured(buckets: int, longest: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for every text, and one with the partition's count of every bucket."""
     known, total = _Checksums(), np.zeros(buckets, np.int64)
     names = ["id", "words", "buckets", "counts"]
-    for batch in _slices(batches):
+    for batch in sliced(batches, SLICE_BYTES, "text"):
         words, found = [], []
         for text in batch.column("text").cast(pa.binary()).to_pylist():
             n, b = feature_buckets(text, buckets, longest, known)

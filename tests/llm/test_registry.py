@@ -15,13 +15,16 @@ COLUMNS = {
     "op8": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
     "op9": {"doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int", "slot": "bigint", "grown_shard": "int"},
     "op10": {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"},
+    "op11": {"doc_id": "bigint", "n_features": "bigint", "weight": "bigint", "score": "bigint", "rank": "bigint"},
+    "op12": {"doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string", "proof_sha256": "string", "folded_root": "string", "verified": "boolean"},
+    "op13": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint", "kept": "boolean"},
 }
-ONE_ROW_EACH = {"op3": "documents", "op4": "documents", "op5": "documents", "op6": "pages", "op7": "documents", "op8": "documents", "op9": "documents", "op10": "documents"}
+ONE_ROW_EACH = {"op3": "documents", "op4": "documents", "op5": "documents", "op6": "pages", "op7": "documents", "op8": "documents", "op9": "documents", "op10": "documents", "op11": "documents", "op12": "documents", "op13": "documents"}
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in llm.queries()} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in llm.queries()} == {f"op{i}" for i in range(1, 14)}
     assert set(llm.queries()) | {"pipeline"} <= names
 
 
