@@ -89,17 +89,22 @@ def prune_to_days(existing: DataFrame, stage: DataFrame) -> DataFrame:
     return existing.filter(F.col("sample_date").between(F.lit(span["first"]), F.lit(span["last"])))
 
 
-def load_telemetry(stage: DataFrame, procedures: DataFrame, existing: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(new fact rows by procedure_key, orphans).
+def with_procedure(stage: DataFrame, procedures: DataFrame) -> DataFrame:
+    """Samples with their procedure's key, null where the procedure is not there."""
+    return stage.join(procedures.select("procedure_id", "procedure_key"), "procedure_id", "left")
+
+
+def not_held(found: DataFrame, existing: DataFrame) -> DataFrame:
+    """One of each (procedure, time) that the fact does not hold; only the days of `found` are looked at.
 
-    Samples find their procedure, copies of (procedure, time) are dropped, and so is what the fact holds.
-    The last two steps share one partitioning.
+    Dropping copies and the anti join share one partitioning.
     """
     keys = ["procedure_key", "sample_timestamp"]
+    rows = one_per_key(found.drop("procedure_id"), keys).join(prune_to_days(existing, found).select(*keys), keys, "left_anti")
+    return rows.select("procedure_key", *[c for c in STAGE_COLUMNS if c != "procedure_id"])
+
+
+def load_telemetry(stage: DataFrame, procedures: DataFrame, existing: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(new fact rows by procedure_key, samples whose procedure is not there)."""
     known = procedures.select("procedure_id", "procedure_key")
-    found = stage.join(known, "procedure_id").drop("procedure_id")
-    held = prune_to_days(existing, stage).select(*keys)
-    rows = one_per_key(found, keys).join(held, keys, "left_anti")
-    orphans = stage.join(known.select("procedure_id"), "procedure_id", "left_anti")
-    order = ["procedure_key", *[c for c in STAGE_COLUMNS if c != "procedure_id"]]
-    return rows.select(*order), orphans
+    return not_held(stage.join(known, "procedure_id"), existing), stage.join(known.select("procedure_id"), "procedure_id", "left_anti")

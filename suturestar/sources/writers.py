@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from suturestar.plans.telemetry import STAGE_COLUMNS
-from suturestar.sources.snapshots import remove
+from suturestar.sources.buckets import Layout, append_bucketed
+from suturestar.sources.files import remove
 
 # Keeps microseconds, which Spark's own default drops.
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
@@ -44,22 +45,39 @@ def clustered(df: DataFrame, partition: str, *sort: str) -> DataFrame:
 Watch = Callable[[DataFrame], DataFrame]
 
 
-def _append(rows: DataFrame, path: str, partition: str, sort: tuple[str, ...], watch: Watch | None) -> None:
-    """`watch` is applied last, in the writing stage, where Spark counts each task once even when it is retried."""
-    ready = clustered(rows, partition, *sort)
-    (ready if watch is None else watch(ready)).write.mode("append").partitionBy(partition).parquet(path)
+# Months sorted by day and robot, days by procedure and time: the star's sort keys as file statistics.
+LAYOUTS = {
+    "fact_procedures": Layout("start_month", "integer", "procedure_key", ("start_date_key", "robot_key")),
+    "fact_procedure_telemetry": Layout("sample_date", "date", "procedure_key", ("procedure_key", "sample_timestamp")),
+}
+
+
+def with_partition(table: str, rows: DataFrame) -> DataFrame:
+    """The rows of a fact with the column that it is partitioned by."""
+    if table == "fact_procedures":
+        return rows.withColumn("start_month", F.expr("start_date_key div 100").cast("int"))
+    return rows.withColumn("sample_date", F.to_date("sample_timestamp"))
+
+
+def append_fact(table: str, rows: DataFrame, path: str, watch: Watch | None = None, buckets: int = 0) -> None:
+    """Append to a fact's time partitions, in `buckets` of its procedure key if that is not 0.
+
+    `watch` is applied last, in the writing stage, where Spark counts each task once even when it is retried.
+    """
+    layout, ready = LAYOUTS[table], with_partition(table, rows)
+    if buckets:
+        append_bucketed(ready, path, rows.schema, layout, buckets, watch)
+        return
+    ready = clustered(ready, layout.partition, *layout.sort)
+    (ready if watch is None else watch(ready)).write.mode("append").partitionBy(layout.partition).parquet(path)
 
 
 def append_procedures(facts: DataFrame, path: str, watch: Watch | None = None) -> None:
-    """Month partitions, sorted by day and robot: the star's sort key as file statistics."""
-    months = facts.withColumn("start_month", F.expr("start_date_key div 100").cast("int"))
-    _append(months, path, "start_month", ("start_date_key", "robot_key"), watch)
+    append_fact("fact_procedures", facts, path, watch)
 
 
 def append_telemetry(rows: DataFrame, path: str, watch: Watch | None = None) -> None:
-    """Day partitions, sorted by procedure and time."""
-    days = rows.withColumn("sample_date", F.to_date("sample_timestamp"))
-    _append(days, path, "sample_date", ("procedure_key", "sample_timestamp"), watch)
+    append_fact("fact_procedure_telemetry", rows, path, watch)
 
 
 def land_batch(records: DataFrame, path: str, record_type: str | None = None) -> None:

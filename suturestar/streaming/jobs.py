@@ -21,6 +21,8 @@ from suturestar.sources.readers import CORRUPT, telemetry_options
 from suturestar.sources.snapshots import exists
 
 FILES_PER_TRIGGER = 100
+# How many seconds a batch waits for a nightly load of the same fact.
+PATIENCE = 900.0
 PROCEDURE_UPDATE_COLUMNS = ("status", "end_time", "duration_minutes")
 
 
@@ -72,12 +74,12 @@ def stream_telemetry(
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         samples, _ = stage_samples(spark, batch, f"{root}/staged_telemetry/batch_id={batch_id}")
-        append_samples(spark, samples, root, now)
+        append_samples(spark, samples, root, now, patience=PATIENCE)
 
     def samples_sink(batch: DataFrame, batch_id: int) -> None:
         staged = f"{root}/staged_samples/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(staged)
-        append_samples(spark, spark.read.parquet(staged), root, now)
+        append_samples(spark, spark.read.parquet(staged), root, now, patience=PATIENCE)
 
     source = telemetry_files(spark, path, max_files)
     if delay is None:
