@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from suturestar.gate.star_sql import CTES, _avg, _hits, _r, with_tables
+from suturestar.gate.star_sql import CTES, _avg, _hits, _r, _ravg, with_tables
 from suturestar.operators.quality import UNIQUE
 from suturestar.operators.upsert import OPERATIONAL_LINKS
 from suturestar.plans.dims import FACILITY_SEED
@@ -555,6 +555,28 @@ def storage_sql() -> dict[str, str]:
             MIN(sample_timestamp) AS first_sample, MAX(sample_timestamp) AS last_sample FROM loaded GROUP BY 1""",
         "samples", "procs", extra={"loaded": loaded},
     )
+    # What the load wrote: every robot has one version, and documents carry no motor current.
+    met = """docs s JOIN procs p ON s.procedure_id = p.procedure_id JOIN robots r ON p.robot_id = r.robot_id
+        WHERE NOT unreadable"""
+    out["star_v11"] = with_tables(
+        f"""SELECT p.procedure_id, r.robot_model, r.facility_name, CAST(p.start_time AS DATE) AS date,
+            COUNT(*) AS telemetry_sample_count, {_avg("cents", 100)} AS avg_temperature,
+            CAST(MAX(cents) AS DOUBLE) / 100 AS max_temperature, CAST(NULL AS DOUBLE) AS avg_motor_current,
+            CAST(NULL AS DOUBLE) AS max_motor_current, {_avg("(k + 10)")} AS avg_network_latency,
+            CAST(MAX(k + 10) AS INTEGER) AS max_network_latency, {_avg("(70 - k // 2)")} AS avg_video_fps,
+            CAST(MIN(70 - k // 2) AS INTEGER) AS min_video_fps
+        FROM {met} GROUP BY 1, 2, 3, 4""",
+        "docs", "procs", "robots",
+    )
+    out["star_q11"] = with_tables(
+        f"""SELECT r.robot_id, r.robot_model, COUNT(DISTINCT p.procedure_id) AS procedure_count,
+            {_ravg("cents", 100)} AS avg_temperature, CAST(MAX(cents) AS DOUBLE) / 100 AS max_temperature,
+            CAST(NULL AS DOUBLE) AS avg_motor_current, {_ravg("(k + 10)")} AS avg_network_latency,
+            {_ravg("(70 - k // 2)")} AS avg_video_fps,
+            {_hits("cents > 7500 OR k + 10 > 100 OR 70 - k // 2 < 25")} AS warning_count
+        FROM {met} GROUP BY 1, 2 HAVING COUNT(DISTINCT p.procedure_id) >= 5""",
+        "docs", "procs", "robots",
+    )
     out["str_deduplicated"] = with_tables(
         "SELECT procedure_id, COUNT(DISTINCT sample_timestamp) AS samples FROM samples GROUP BY 1", "samples"
     )

@@ -217,12 +217,23 @@ def full_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(again).drop("message")
 
 
+_stars: dict[tuple[str, str], str] = {}
+
+
 def loaded_star(spark: SparkSession, sf_dir: str):
-    """The star that a full load of the operational tables has written, read back."""
-    root = scratch(spark, "star")
-    t = op.OperationalTables(spark, sf_dir).all()
-    load.run_pipeline(spark, t, root, "full", *ALL_TIME, as_of=tables.AS_OF, now=tables.LOAD_TIME)
-    return load.load_star(spark, root)
+    """The star that a full load of the operational tables has written, read back; loaded once a session."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _stars:
+        root = scratch(spark, "star")
+        t = op.OperationalTables(spark, sf_dir).all()
+        report = load.run_pipeline(
+            spark, t, root, "full", *ALL_TIME, as_of=tables.AS_OF, telemetry=telemetry(spark, sf_dir), now=tables.LOAD_TIME
+        )
+        problem = report.filter("status = 'FAILED'").first()
+        if problem is not None:
+            raise RuntimeError(problem.message)
+        _stars[at] = root
+    return load.load_star(spark, _stars[at])
 
 
 def _on_loaded(build: Callable) -> Query:
@@ -232,6 +243,8 @@ def _on_loaded(build: Callable) -> Query:
 # Views and reports on what the load wrote; their SQL is that of the adapter's star.
 LOADED: dict[str, tuple[str, Query]] = {
     "star_v8": ("vw_daily_procedure_volume", _on_loaded(views.vw_daily_procedure_volume)),
+    "star_v11": ("vw_telemetry_system_health", _on_loaded(views.vw_telemetry_system_health)),
+    "star_q11": ("q11_robot_health", _on_loaded(reports.q11_robot_health)),
     "star_v9": ("vw_procedures_by_time_of_day", _on_loaded(views.vw_procedures_by_time_of_day)),
     "star_q03": ("q03_monthly_trend", _on_loaded(lambda s: reports.q03_monthly_trend(s, tables.AS_OF))),
     "star_q06": ("q06_readmission_by_category", _on_loaded(reports.q06_readmission_by_category)),
