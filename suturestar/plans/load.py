@@ -20,8 +20,9 @@ from suturestar.sources.buckets import bucket_of, read_bucketed
 from suturestar.sources.files import exists, remove
 
 PROCEDURES, TELEMETRY = "fact_procedures", "fact_procedure_telemetry"
-# Buckets of a fact's procedure key, fixed by its first load; both facts need the same number to meet without a shuffle.
-BUCKETS = 16
+# Buckets of a fact's procedure key, fixed by its first load: each time partition gets that many files.  Few suit a small
+# fleet, a large one wants as many as its cores; both facts need the same number to meet without a shuffle.
+BUCKETS = 4
 # A fact whose fullest bucket holds this many times its share is read as plain files, which Spark can split.
 LOPSIDED, LOPSIDED_ROWS = 4, 1_000_000
 KEYS = {"dim_facilities": "facility_key", "dim_surgeons": "surgeon_key", "dim_robots": "robot_key"}
