@@ -19,6 +19,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from collections.abc import Iterator
 from functools import cache
 from itertools import islice
 
@@ -26,11 +27,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from suturestar.llm.frames import read
+from suturestar.llm.frames import read, sliced
 
 SLICE = 8 << 20
 KEPT_PIECES = 400_000
+SMALL_SLICE = 2 << 20
+SMALL_PIECES = 100_000
+SMALL_LETTERS = 8 << 20
+_ENCODED = [StructField("ids", BinaryType()), StructField("n_tokens", LongType()), StructField("decoded", StringType())]
 # White space as the normaliser of the vocabulary has it, as ranges (fixed values).
 SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 # The last letter whose class all Unicode versions in use agree on.
@@ -197,13 +203,18 @@ class _Seen(dict):
 
 
 class Encoder:
-    """Encodes slices of texts; `by_library` has the library's model merge each word instead of the index."""
+    """Encodes slices of texts; `by_library` has the library's model merge each word instead of the index.
 
-    def __init__(self, path: str, by_library: bool = False):
+    Between slices it keeps at most `pieces` pieces of `letters` characters together (None: any).
+    """
+
+    def __init__(self, path: str, by_library: bool = False, pieces: int | None = None, letters: int | None = None):
         self.vocabulary, self.by_library = Vocabulary(path), by_library
+        self.most_pieces, self.most_letters = KEPT_PIECES if pieces is None else pieces, letters
         self._forget()
 
     def _forget(self) -> None:
+        self.letters = 0
         self.seen, self.flat, self.offsets = _Seen(), np.empty(0, np.uint32), np.zeros(1, np.int64)
 
     def _word_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -246,12 +257,14 @@ class Encoder:
         """The ids of every text."""
         out: list[np.ndarray] = []
         for part in slices(texts):
-            if len(self.seen) > KEPT_PIECES:
+            if len(self.seen) > self.most_pieces or (self.most_letters and self.letters > self.most_letters):
                 self._forget()
             known, seen = len(self.seen), self.seen
             rows = [np.fromiter(map(seen.__getitem__, self.vocabulary.pieces(t or "")), np.int64) for t in part]
             if len(seen) > known:
-                self._learn(list(islice(seen, known, None)))
+                new = list(islice(seen, known, None))
+                self.letters += sum(map(len, new))
+                self._learn(new)
             for row in rows:
                 out.append(gathered(self.flat, self.offsets, row)[0])
         return out
@@ -276,6 +289,11 @@ def encoder(path: str, by_library: bool = False) -> Encoder:
     return Encoder(path, by_library)
 
 
+@cache
+def small_encoder(path: str) -> Encoder:
+    return Encoder(path, pieces=SMALL_PIECES, letters=SMALL_LETTERS)
+
+
 def encode(text: Column, path: str | None = None) -> Column:
     """Token ids of a text column, as little-endian unsigned 32-bit integers."""
     path = path or default_vocabulary()
@@ -299,6 +317,31 @@ def decode(ids: Column, path: str | None = None) -> Column:
     return text(ids)
 
 
+def encoded(docs: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
+    """All rows with `ids` (as `encode` gives them), `n_tokens` and `decoded`, in one pass with little memory.
+
+    Rows go through in slices of SMALL_SLICE bytes of text, and what is kept between slices is bounded by bytes, so a task
+    needs as much for a partition of any size; one text longer than that is a slice alone.  Columns of the input that are
+    named like the three new ones are replaced.  Null and empty texts have no ids and decode to the empty text.
+    """
+    path = path or default_vocabulary()
+    rows = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in ("ids", "n_tokens", "decoded")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = small_encoder(path)
+        name = coder.vocabulary.token.__getitem__
+        for part in sliced(batches, SMALL_SLICE, text):
+            ids = coder.encode(part.column(text).to_pylist())
+            new = [
+                pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()),
+                pa.array([len(x) for x in ids], pa.int64()),
+                pa.array([" ".join(map(name, x.tolist())) for x in ids], pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, "ids", "n_tokens", "decoded"])
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, *_ENCODED]))
+
+
 def op8_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = read(spark, sf_dir, "documents").select("doc_id", encode(F.col("text")).alias("ids"))
     return ids.select(

@@ -64,3 +64,19 @@ def test_digest(spark, sf_dir, library):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
+
+
+def test_encoded_in_one_pass_of_slices(spark, library, monkeypatch):
+    """Odd and very long texts, and columns named like the new ones."""
+    monkeypatch.setattr(bpe, "SMALL_SLICE", 1000)
+    rng = random.Random(3)
+    long = " ".join(f"w{rng.randrange(5000)}x" for _ in range(700_000))
+    texts = [*ODD, *[_random(rng) for _ in range(200)], long]
+    df = spark.createDataFrame([(i, t, "old") for i, t in enumerate(texts)], "doc_id long, text string, ids string")
+    out = bpe.encoded(df.repartition(3))
+    assert out.columns == ["doc_id", "text", "ids", "n_tokens", "decoded"]
+    for r in out.collect():
+        want = library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
+        assert np.frombuffer(r.ids, "<u4").tolist() == want and r.n_tokens == len(want)
+        assert r.decoded == library.decode(want, skip_special_tokens=False)
+    assert bpe.encoded(df.limit(0)).count() == 0
