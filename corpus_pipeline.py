@@ -10,7 +10,8 @@ one's input.  All but the last return the columns of documents.  Every stage's d
   without words only of rows with the same id and text.
 * decontamination: documents that hold a benchmark item go.
 * personal_data: spans are replaced by their kind in brackets.
-* encoding: adds token ids, and the text they decode to.
+* encoding: adds token ids (`ids`), their number (`n_tokens`) and the text they decode to (`decoded`); input columns of
+  these names are replaced.  A null text has no ids.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from suturestar.llm import pii
-from suturestar.llm.bpe import decode, encode
+from suturestar.llm.bpe import encoded
 from suturestar.llm.decontaminate import decontaminated
 from suturestar.llm.frames import fresh, importable, read
 from suturestar.llm.ngram_join import class_key, first_classes
@@ -62,8 +63,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
-    ids = docs.withColumn("ids", encode(F.col("text")))
-    return ids.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long")).withColumn("decoded", decode(F.col("ids")))
+    return encoded(docs)
 
 
 STAGES = [
