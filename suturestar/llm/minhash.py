@@ -12,7 +12,7 @@ of 0.8 meet in none with a chance of (1 - 0.8 ** ROWS) ** BANDS = 5e-9.
    edges with these only: a star, so a bucket of k classes has candidates in proportion to k, not to its square.
 3. Candidates are confirmed on the full sets; links merge classes into components.
 4. Centres have met all of their bucket and leave it; buckets whose classes are now of one component close.  Others take
-   twice the centres in the next round, until none is open.  So every pair of classes that shares a bucket is confirmed,
+   MORE_CENTRES times the centres in the next round, until none is open.  So every pair of classes that shares a bucket is confirmed,
    refused, or connected already, and nothing is capped.
 
 Keys that many rows share (buckets of near copies, sets of exact copies) are joined by broadcast: those with at least
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from suturestar.llm.components import components
@@ -43,7 +43,7 @@ ROWS = 5
 BANDS = 48
 BINS = ROWS * BANDS
 CENTRES = 2
-MOST_CENTRES = 16
+MORE_CENTRES = 8
 HEAVY_ROWS = 1_000
 HEAVY_KEYS = 1 << 16
 FILTER_BITS = 1 << 26
@@ -104,20 +104,18 @@ def spread_join(rows: DataFrame, keys: DataFrame, key: str, total: int, how: str
     return rows.join(few, key).unionByName(rows.join(few, key, "left_anti").join(light, key, how))
 
 
-def star(members: DataFrame, centres: int, turn: int) -> tuple[DataFrame, DataFrame]:
+def star(members: DataFrame, centres: int) -> tuple[DataFrame, DataFrame]:
     """Candidate edges of a round, and the members (band, class, root) that may have more in a later one.
 
-    Each bucket with classes of several components takes up to `centres` classes as centres.
+    Each bucket with classes of several components takes up to `centres` classes as centres, first by hash; the row
+    number limits every task's part of a bucket before the bucket meets.
     """
-    order = [F.xxhash64("class", F.lit(turn * MOST_CENTRES + j)).alias("o") for j in range(centres)]
-    picked = [F.min(F.struct(o, "class", "root")) for o in order]
-    stars = members.groupBy("band").agg(
-        F.array_distinct(F.array(*[F.struct(p["class"].alias("class"), p["root"].alias("root")) for p in picked])).alias("centres"),
-        (F.min("root") != F.max("root")).alias("open"),
-        F.count(F.lit(1)).alias("size"),
-    )
-    total = members.count()
-    met = kept(spread_join(members, stars.filter("open").drop("open"), "band", total), "stars")
+    several = (F.min("root") != F.max("root")).alias("open")
+    open_ = members.groupBy("band").agg(several, F.count(F.lit(1)).alias("size")).filter("open").drop("open")
+    place = F.row_number().over(Window.partitionBy("band").orderBy(F.xxhash64("class"), "class"))
+    first = members.withColumn("place", place).filter(F.col("place") <= centres)
+    stars = open_.join(first.groupBy("band").agg(F.collect_list(F.struct("class", "root")).alias("centres")), "band")
+    met = kept(spread_join(members, stars, "band", members.count()), "stars")
     edges = met.select("class", "root", F.explode("centres").alias("to")).filter("to.root <> root")
     pair = [F.least("class", "to.class").alias("a"), F.greatest("class", "to.class").alias("b")]
     rest = met.filter("NOT exists(centres, c -> c.class = class)").select("band", "class", "root")
@@ -189,9 +187,9 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", wo
     classes = kept(classes, "classes")
     texts = kept(class_texts(plain, classes.join(roots, "class").select("id", "class"), words), "texts")
 
-    turn, centres = 0, CENTRES
+    centres = CENTRES
     while True:
-        edges, members = star(members, centres, turn)
+        edges, members = star(members, centres)
         edges = kept(edges, "candidates")
         if edges.isEmpty():
             break
@@ -203,7 +201,7 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", wo
         merged = merged.select(F.col("node").alias("root"), F.col("root").alias("to"))
         roots = kept(roots.join(merged, "root", "left").select("class", F.coalesce("to", "root").alias("root")), "roots")
         members = members.drop("root").join(roots, "class")
-        turn, centres = turn + 1, min(2 * centres, MOST_CENTRES)
+        centres *= MORE_CENTRES
 
     rooted = kept(classes.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class")), "rooted")
     least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))

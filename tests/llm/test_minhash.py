@@ -97,5 +97,5 @@ def test_sets_at_the_threshold_share_a_bucket():
 def test_a_star_bounds_the_candidates(spark):
     """A bucket of 500 classes gives at most 2 candidates a class in the first round."""
     members = spark.range(500).selectExpr("1L AS band", "id AS class", "id AS root")
-    edges, rest = mh.star(members, 2, 0)
+    edges, rest = mh.star(members, 2)
     assert edges.count() <= 2 * 500 and rest.count() == 498
