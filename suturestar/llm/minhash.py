@@ -10,13 +10,16 @@ of 0.8 meet in none with a chance of (1 - 0.8 ** ROWS) ** BANDS = 5e-9.
    are one class from here on.
 2. Buckets of a single class go.  Each other bucket names a few centres, and every other class in it makes candidate
    edges with these only: a star, so a bucket of k classes has candidates in proportion to k, not to its square.
-3. Candidates are confirmed on the full sets; links merge classes into components.
+3. A candidate edge is dropped at once if the sizes of its sets, or how many of SKETCH_BITS bits of them differ, rule a
+   link out.  The others are confirmed on the full sets; links merge classes into components.
 4. Centres have met all of their bucket and leave it; buckets whose classes are now of one component close.  Others take
    MORE_CENTRES times the centres in the next round, until none is open.  So every pair of classes that shares a bucket is confirmed,
-   refused, or connected already, and nothing is capped.
+   refused, or connected already, and nothing is capped.  A class's turn in a bucket is its hash times the bucket's size, so
+   no bucket is sorted or gathered to choose its centres.
 
 Keys that many rows share (buckets of near copies, sets of exact copies) are joined by broadcast: those with at least
-HEAVY_ROWS rows and one in HEAVY_KEYS of all, so there are at most HEAVY_KEYS of them.  Before texts of candidate classes
+HEAVY_ROWS rows and one in HEAVY_KEYS of all, so there are at most HEAVY_KEYS of them; where a key has k centres it must
+have k times as many rows, so about HEAVY_KEYS centres are sent at most.  Before texts of candidate classes
 move, a bit table of fixed size drops the others; when it is full it drops less, and the join still decides.
 
 Null and empty texts have no shingles, are linked with nothing and are kept.  A null id gets no component, links nothing and
@@ -30,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from suturestar.llm.components import components
@@ -51,7 +54,9 @@ BITMAP = 1 << 15
 SLICE_BYTES = 4 << 20
 KEPT_SETS = 2 << 20
 DONE_CLASSES = 500_000
-SKETCH = "id long, n int, class long, bands array<long>"
+SKETCH_BITS = 512
+TURNS = 1 << 31
+SKETCH = "id long, n int, class long, bands array<long>, bits array<long>"
 
 _RANDOM = np.random.Generator(np.random.PCG64(20250713))
 _EDGES = np.array([i * 2**64 // BINS for i in range(BINS)], np.uint64)
@@ -80,21 +85,30 @@ def band_keys(s: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def sketch_bits(s: np.ndarray) -> np.ndarray:
+    """SKETCH_BITS bits, those that a hash of the set falls on: sets differ in at least as many shingles as bits."""
+    held = np.zeros(SKETCH_BITS, bool)
+    held[s & np.uint64(SKETCH_BITS - 1)] = True
+    return np.packbits(held).view(np.int64)
+
+
 def _sketched(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every row's set; the buckets of a class with its first row of the task that has an id."""
+    """Every row's set; the buckets and bits of a class with its first row of the task that has an id."""
     done: set[int] = set()
     for rows in sliced(batches, SLICE_BYTES, "text"):
         sets = shingle_sets(rows.column("text").cast(pa.binary()).to_pylist(), words)
-        keys, bands = [set_key(s) for s in sets], []
+        keys, bands, bits = [set_key(s) for s in sets], [], []
         for id_, s, k in zip(rows.column("id").to_pylist(), sets, keys):
             new = id_ is not None and len(s) > 0 and k not in done
             bands.append(band_keys(s) if new else None)
+            bits.append(sketch_bits(s) if new else None)
             if new:
                 if len(done) >= DONE_CLASSES:
                     done.clear()
                 done.add(k)
-        columns = [rows.column("id"), pa.array(map(len, sets), pa.int32()), pa.array(keys, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "class", "bands"])
+        longs = [pa.array(x, pa.list_(pa.int64())) for x in (bands, bits)]
+        columns = [rows.column("id"), pa.array(map(len, sets), pa.int32()), pa.array(keys, pa.int64()), *longs]
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "class", "bands", "bits"])
 
 
 def spread_join(rows: DataFrame, keys: DataFrame, key: str, total: int, how: str = "inner") -> DataFrame:
@@ -104,22 +118,32 @@ def spread_join(rows: DataFrame, keys: DataFrame, key: str, total: int, how: str
     return rows.join(few, key).unionByName(rows.join(few, key, "left_anti").join(light, key, how))
 
 
-def star(members: DataFrame, centres: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate edges of a round, and the members (band, class, root) that may have more in a later one.
+def may_link(a: str, b: str) -> Column:
+    """Whether sizes and bits of two sets allow a link: of two sets with d shingles in only one, p % are shared by
+    both only if d * (100 + p) <= (100 - p) * (their sizes' sum)."""
+    n = F.col(f"{a}.n"), F.col(f"{b}.n")
+    sizes = F.least(*n) * 100 >= F.greatest(*n) * PERCENT
+    differ = sum((F.bit_count(F.col(f"{a}.bits{i}").bitwiseXOR(F.col(f"{b}.bits{i}"))) for i in range(SKETCH_BITS // 64)), F.lit(0))
+    return sizes & (differ * (100 + PERCENT) <= (n[0] + n[1]) * (100 - PERCENT))
+
 
-    Each bucket with classes of several components takes up to `centres` classes as centres, first by hash; the row
-    number limits every task's part of a bucket before the bucket meets.
+def star(members: DataFrame, centres: int, total: int) -> tuple[DataFrame, DataFrame]:
+    """Candidate edges of a round, and the members that may have more in a later one.
+
+    `members`: band, size (of the bucket), turn (from 0 to size), class, root, n and bits.  Buckets whose classes are of
+    several components stay; their classes with a turn below `centres` are the centres, and leave.
     """
     several = (F.min("root") != F.max("root")).alias("open")
-    open_ = members.groupBy("band").agg(several, F.count(F.lit(1)).alias("size")).filter("open").drop("open")
-    place = F.row_number().over(Window.partitionBy("band").orderBy(F.xxhash64("class"), "class"))
-    first = members.withColumn("place", place).filter(F.col("place") <= centres)
-    stars = open_.join(first.groupBy("band").agg(F.collect_list(F.struct("class", "root")).alias("centres")), "band")
-    met = kept(spread_join(members, stars, "band", members.count()), "stars")
-    edges = met.select("class", "root", F.explode("centres").alias("to")).filter("to.root <> root")
-    pair = [F.least("class", "to.class").alias("a"), F.greatest("class", "to.class").alias("b")]
-    rest = met.filter("NOT exists(centres, c -> c.class = class)").select("band", "class", "root")
-    return edges.select(*pair).distinct(), rest
+    open_ = members.groupBy("band").agg(several, F.first("size").alias("size")).filter("open").drop("open")
+    met = kept(spread_join(members.withColumnRenamed("size", "held"), open_, "band", total).withColumnRenamed("held", "size"), "members")
+    heavy = F.col("size") >= max(HEAVY_ROWS, total * centres // HEAVY_KEYS)
+    first = met.filter(F.col("turn") < centres)
+    edges = []
+    for some, side in ((heavy, F.broadcast(first.filter(heavy))), (~heavy, first.filter(~heavy))):
+        on = (F.col("x.band") == F.col("y.band")) & (F.col("x.root") != F.col("y.root")) & may_link("x", "y")
+        edges.append(met.filter(some).alias("x").join(side.alias("y"), on))
+    pair = [F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")]
+    return edges[0].select(*pair).unionByName(edges[1].select(*pair)).distinct(), met.filter(F.col("turn") >= centres)
 
 
 def _confirmed(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,18 +205,27 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", wo
     buckets = postings.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count(F.lit(1)).alias("size"))
     shared = kept(buckets.filter("low <> high").select("band", "size"), "buckets")
     total = sketch.filter("bands IS NOT NULL").count() * BANDS
-    members = kept(spread_join(postings, shared, "band", total).distinct(), "members").withColumn("root", F.col("class"))
-    roots = kept(members.select("class").distinct().withColumn("root", F.col("class")), "roots")
+    turn = F.floor(F.xxhash64("class", "band").bitwiseAND(F.lit(TURNS - 1)) * F.col("size") / TURNS)
+    members = spread_join(postings, shared.withColumn("held", F.col("size")), "band", total).distinct().withColumnRenamed("held", "size")
+    members = kept(members.withColumn("turn", turn), "members")
+    bits = [F.col("bits")[i].alias(f"bits{i}") for i in range(SKETCH_BITS // 64)]
+    sets = sketch.filter("bands IS NOT NULL").select("class", F.col("n").cast("long").alias("n"), *bits).dropDuplicates(["class"])
+    sets = kept(sets.join(members.select("class").distinct(), "class", "left_semi"), "sets")
+    roots = kept(sets.select("class", F.col("class").alias("root")), "roots")
+    members = members.join(sets, "class").withColumn("root", F.col("class"))
     classes = sketch.filter("n > 0 AND id IS NOT NULL").groupBy("class").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("size"))
     classes = kept(classes, "classes")
     texts = kept(class_texts(plain, classes.join(roots, "class").select("id", "class"), words), "texts")
 
     centres = CENTRES
     while True:
-        edges, members = star(members, centres)
+        edges, members = star(members, centres, total)
         edges = kept(edges, "candidates")
+        centres *= MORE_CENTRES
         if edges.isEmpty():
-            break
+            if members.isEmpty():
+                break
+            continue
         for side in "ba":
             edges = edges.join(texts.select(F.col("class").alias(side), F.col("text").alias(f"text_{side}")), side)
         links = edges.select("a", "b", "text_a", "text_b").mapInArrow(lambda it: _confirmed(words, it), "u long, v long")
@@ -201,7 +234,6 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", wo
         merged = merged.select(F.col("node").alias("root"), F.col("root").alias("to"))
         roots = kept(roots.join(merged, "root", "left").select("class", F.coalesce("to", "root").alias("root")), "roots")
         members = members.drop("root").join(roots, "class")
-        centres *= MORE_CENTRES
 
     rooted = kept(classes.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class")), "rooted")
     least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))

@@ -96,6 +96,29 @@ def test_sets_at_the_threshold_share_a_bucket():
 
 def test_a_star_bounds_the_candidates(spark):
     """A bucket of 500 classes gives at most 2 candidates a class in the first round."""
-    members = spark.range(500).selectExpr("1L AS band", "id AS class", "id AS root")
-    edges, rest = mh.star(members, 2)
-    assert edges.count() <= 2 * 500 and rest.count() == 498
+    bits = [f"0L AS bits{i}" for i in range(mh.SKETCH_BITS // 64)]
+    members = spark.range(500).selectExpr("1L AS band", "500L AS size", "id AS turn", "id AS class", "id AS root", "9L AS n", *bits)
+    edges, rest = mh.star(members, 2, 500)
+    assert 498 <= edges.count() <= 2 * 500 and rest.count() == 498
+
+
+def test_bits_refuse_no_link_and_most_others(spark):
+    rng = np.random.default_rng(9)
+    rows, linked = [], []
+    for k in range(400):
+        size = int(rng.integers(1, 300))
+        x = np.unique(rng.integers(0, 2**64, size, np.uint64))
+        share = 0.5 if k % 2 else rng.uniform(0.8, 1)
+        y = np.unique(np.concatenate((x[: int(np.ceil(len(x) * share))], rng.integers(0, 2**64, int(len(x) * (1 - share)), np.uint64))))
+        both = len(np.intersect1d(x, y))
+        linked.append(100 * both >= 80 * (len(x) + len(y) - both))
+        rows.append((k, [len(x), *mh.sketch_bits(x).tolist()], [len(y), *mh.sketch_bits(y).tolist()]))
+    df = spark.createDataFrame(rows, "k int, p array<long>, q array<long>")
+
+    def side(c):
+        names = ["n", *[f"bits{i}" for i in range(mh.SKETCH_BITS // 64)]]
+        return df.select("k", *[df[c][i].alias(n) for i, n in enumerate(names)])
+
+    may = {r.k for r in side("p").alias("x").join(side("q").alias("y"), "k").filter(mh.may_link("x", "y")).collect()}
+    assert {k for k, yes in enumerate(linked) if yes} <= may
+    assert len(may) < sum(linked) + 60
