@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from suturestar.gate.star_sql import CTES, _avg, _hits, _r, _ravg, with_tables
-from suturestar.operators.quality import UNIQUE
+from suturestar.operators.quality import LENGTHS, UNIQUE, required_columns
 from suturestar.operators.upsert import OPERATIONAL_LINKS
 from suturestar.plans.dims import FACILITY_SEED
 
@@ -74,7 +74,9 @@ CTES.update(
                    CASE event_type WHEN 'error' THEN 'emergency' WHEN 'view' THEN 'routine' WHEN 'click' THEN 'calibration'
                         WHEN 'purchase' THEN 'upgrade' ELSE event_type END AS maintenance_type,
                    CASE WHEN k >= 50 THEN 'inspected; cleaned' ELSE 'inspected' END AS actions_taken,
-                   k AS downtime_tenths, CASE WHEN k <> 7 THEN CAST(ROUND(value * 100) AS BIGINT) END AS cost_cents
+                   k AS downtime_tenths, CASE WHEN k <> 7 THEN CAST(ROUND(value * 100) AS BIGINT) END AS cost_cents,
+                   'TECH-' || (event_id % 9) AS technician_id, 'Technician ' || (event_id % 9) AS technician_name,
+                   TIMESTAMP '2001-08-01 12:00:00' AS created_at
             FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)""",
         ),
         # The level derived from an outcome's text, and the status as the warehouse spells it.
@@ -238,6 +240,7 @@ def lookup_sql() -> dict[str, str]:
         ),
         "procs",
     )
+    out["a3_procedures_next"] = out["a3_procedures"]
     out["a4_procedure_detail"] = with_tables(
         """SELECT p.procedure_id, p.start_time, r.robot_model, r.facility_name, o.outcome_id, o.success_status
         FROM procs p JOIN robots r ON p.robot_id = r.robot_id LEFT JOIN outs o ON p.procedure_id = o.procedure_id
@@ -310,6 +313,17 @@ def quality_sql() -> dict[str, str]:
         UNION ALL SELECT procedure_id, 'patient_age is null' FROM procs WHERE patient_age IS NULL""",
         "procs",
     )
+    ctes = {"surgical_robots": "robots", "robot_maintenance_logs": "maint", "surgical_procedures": "procs", "procedure_outcomes": "outs"}
+    nulls, longs = [], []
+    for table, seed in SEEDED_SQL.items():
+        head = f"SELECT '{table}' AS table_name, "
+        for c in required_columns(table):
+            nulls.append(f"{head}'{c} is null' AS rule, COUNT(*) FILTER (WHERE {seed} OR {c} IS NULL) AS violations FROM {ctes[table]}")
+        for c, n in LENGTHS[table].items():
+            bad = f"({seed} AND {c} IS NOT NULL) OR LENGTH({c}) > {n}"
+            longs.append(f"{head}'{c} longer than {n}' AS rule, COUNT(*) FILTER (WHERE {bad}) AS violations FROM {ctes[table]}")
+    out["val_not_null_model"] = with_tables(" UNION ALL ".join(nulls), *ctes.values())
+    out["val_lengths"] = with_tables(" UNION ALL ".join(longs), *ctes.values())
     out["val_unique"] = (
         "SELECT l_orderkey, l_linenumber, COUNT(*) AS copies FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1"
     )
@@ -519,6 +533,11 @@ def function_sql() -> dict[str, str]:
 def storage_sql() -> dict[str, str]:
     out = {}
     out["src_csv_table"] = with_tables(f"SELECT {PROC_COLUMNS} FROM procs", "procs")
+    out["src_operational_parquet"] = out["src_operational_csv"] = with_tables(
+        """SELECT procedure_id, start_time, robot_model, installation_date, firmware_version, success_status, follow_up_required
+        FROM procs JOIN robots USING (robot_id) LEFT JOIN outs USING (procedure_id)""",
+        "procs", "robots", "outs",
+    )
     out["snk_staged_csv"] = with_tables(f"SELECT {STAGE_COLUMNS} FROM stage", "stage")
     out["src_telemetry_json"] = with_tables(
         "SELECT procedure_id, event_type AS tool_type, COUNT(*) AS documents FROM docs GROUP BY 1, 2", "docs"

@@ -81,6 +81,12 @@ def _procedure_detail(t: op.OperationalTables) -> DataFrame:
     )
 
 
+def _next_page(t: op.OperationalTables) -> DataFrame:
+    """The page that a3_procedures skips to, reached from the token of the page before."""
+    first = lookups.procedures(t, category="1-URGENT", limit=20)
+    return lookups.procedures(t, category="1-URGENT", limit=50, after=lookups.last_of(first))
+
+
 LOOKUPS: dict[str, Query] = {
     "op_robot_utilization": _tables(views.op_robot_utilization),
     "op_procedure_outcomes_summary": _tables(views.op_procedure_outcomes_summary),
@@ -88,6 +94,7 @@ LOOKUPS: dict[str, Query] = {
     "a1_robots": _tables(lambda t: lookups.robots(t, "FAC-003", "operational")),
     "a2_robot_detail": _tables(lambda t: lookups.robot_detail(t, "RBT-000000003")),
     "a3_procedures": _tables(lambda t: lookups.procedures(t, category="1-URGENT", limit=50, offset=20)),
+    "a3_procedures_next": _tables(_next_page),
     "a4_procedure_detail": _tables(_procedure_detail),
     "a5_outcomes": _tables(
         lambda t: lookups.outcomes(t, "successful").drop("surgeon_notes", "created_at", "updated_at")
@@ -175,6 +182,36 @@ def val_foreign_keys_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _model_counts(spark: SparkSession, sf_dir: str, rules_of: Callable, spoilt: Callable) -> DataFrame:
+    """Violations per table and rule, where `spoilt` gives the columns that seeded rows break."""
+    t, parts = op.OperationalTables(spark, sf_dir), []
+    for table, seed in SEEDED.items():
+        seeded = t[table].withColumn("seeded", F.expr(f"coalesce({seed}, false)"))
+        broken = {c: F.when(F.col("seeded"), bad).otherwise(F.col(c)) for c, bad in spoilt(table).items()}
+        counts = quality.violation_counts(seeded.withColumns(broken), rules_of(table))
+        parts.append(counts.select(F.lit(table).alias("table_name"), "rule", "violations"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def val_not_null_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every NOT NULL column of the operational model, with some rows that lack all of them."""
+    required = quality.required_columns
+    return _model_counts(
+        spark, sf_dir, lambda table: quality.not_null_rules(required(table)), lambda table: {c: F.lit(None) for c in required(table)}
+    )
+
+
+def val_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every VARCHAR limit of the operational model, with some rows whose texts are one character too long."""
+    limits = quality.LENGTHS
+    return _model_counts(
+        spark,
+        sf_dir,
+        lambda table: quality.length_rules(limits[table]),
+        lambda table: {c: F.rpad(F.col(c), n + 1, "x") for c, n in limits[table].items()},
+    )
+
+
 def val_required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted, rejected = quality.split_required(op.telemetry_documents(spark, sf_dir))
     both = accepted.select(F.lit("accepted").alias("outcome")).unionByName(
@@ -195,6 +232,8 @@ QUALITY: dict[str, Query] = {
     for f in (
         val_checks,
         val_not_null,
+        val_not_null_model,
+        val_lengths,
         val_unique,
         val_unique_model,
         val_foreign_keys,

@@ -48,6 +48,30 @@ def src_csv_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _doubles(readers.read_csv_table(spark, path, "surgical_procedures"))
 
 
+def _operational(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
+    """All operational tables written, read back, and three of them joined."""
+    root = scratch(spark, "operational")
+    for name, df in op.OperationalTables(spark, sf_dir).all().items():
+        if fmt == "csv":
+            options = {"header": True, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+            df.write.options(**options).csv(f"{root}/{name}.csv")
+        else:
+            df.write.format(fmt).save(f"{root}/{name}")
+    t = readers.read_operational(spark, root, fmt)
+    fleet = t["surgical_robots"].select("robot_id", "robot_model", "installation_date", "firmware_version")
+    results = t["procedure_outcomes"].select("procedure_id", "success_status", "follow_up_required")
+    found = t["surgical_procedures"].select("procedure_id", "start_time", "robot_id").join(fleet, "robot_id")
+    return found.join(results, "procedure_id", "left").drop("robot_id")
+
+
+def src_operational_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _operational(spark, sf_dir, "parquet")
+
+
+def src_operational_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _operational(spark, sf_dir, "csv")
+
+
 def snk_staged_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = op.OperationalTables(spark, sf_dir)
     stage = etl.extract_procedures(
@@ -257,6 +281,8 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         src_csv_table,
+        src_operational_parquet,
+        src_operational_csv,
         snk_staged_csv,
         src_telemetry_json,
         snk_telemetry_stage,

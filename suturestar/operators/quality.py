@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from suturestar.schemas import schema_of
+
 # The CHECK constraints of the operational tables, as SQL conditions.
 CHECKS: dict[str, dict[str, str]] = {
     "surgical_robots": {
@@ -37,6 +39,30 @@ UNIQUE = {
     "procedure_outcomes": (("outcome_id",), ("procedure_id",)),
 }
 
+# The VARCHAR limits of the operational tables.
+LENGTHS: dict[str, dict[str, int]] = {
+    "surgical_robots": {
+        "robot_serial_number": 50,
+        "robot_model": 100,
+        "manufacturer": 100,
+        "facility_id": 50,
+        "facility_name": 200,
+        "status": 20,
+        "firmware_version": 20,
+    },
+    "robot_maintenance_logs": {"maintenance_type": 50, "technician_id": 50, "technician_name": 200},
+    "surgical_procedures": {
+        "procedure_type": 100,
+        "procedure_category": 50,
+        "surgeon_id": 50,
+        "surgeon_name": 200,
+        "patient_id": 50,
+        "patient_gender": 20,
+        "status": 20,
+    },
+    "procedure_outcomes": {"success_status": 20},
+}
+
 # Fields an ingested telemetry record must carry.
 TELEMETRY_REQUIRED = ("procedure_id", "timestamp", "robot_id")
 
@@ -54,6 +80,23 @@ def check_rules(table: str) -> dict[str, Column]:
     return {name: F.expr(sql) for name, sql in CHECKS[table].items()}
 
 
+def required_columns(table: str) -> list[str]:
+    """The table's NOT NULL columns."""
+    return [f.name for f in schema_of(table).fields if not f.nullable]
+
+
+def model_rules(table: str) -> dict[str, Column]:
+    """Every NOT NULL, VARCHAR and CHECK rule of an operational table."""
+    return {**not_null_rules(required_columns(table)), **length_rules(LENGTHS[table]), **check_rules(table)}
+
+
+def violation_counts(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """(rule, violations) for every rule, unbroken ones too: one scan, one row a task into the exchange."""
+    counts = df.agg(*[F.count_if(~F.coalesce(rule, F.lit(True))).alias(f"rule{i}") for i, rule in enumerate(rules.values())])
+    pairs = [F.struct(F.lit(name).alias("rule"), F.col(f"rule{i}").alias("violations")) for i, name in enumerate(rules)]
+    return counts.select(F.inline(F.array(*pairs)))
+
+
 def broken_rules(rules: Mapping[str, Column]) -> Column:
     """Names of the rules a row breaks; like a SQL CHECK, a rule that is NULL passes."""
     names = [F.when(~F.coalesce(rule, F.lit(True)), F.lit(name)) for name, rule in rules.items()]

@@ -37,6 +37,26 @@ def page(df: DataFrame, order: list[Column | str], limit: int, offset: int = 0)
     return (ordered.offset(offset) if offset else ordered).limit(limit)
 
 
+# Where a page ended: the last row's start time and id.
+Token = tuple[datetime | None, str]
+
+
+def last_of(page_rows: DataFrame) -> Token | None:
+    """The token of a page, None for an empty one.  Collects the page's keys, which its limit bounds."""
+    keys = page_rows.select("start_time", "procedure_id").collect()
+    return tuple(keys[-1]) if keys else None
+
+
+def beyond(token: Token) -> Column:
+    """Rows after the token's in the order start_time DESC (NULL last), procedure_id."""
+    start, id_ = token
+    tie = F.col("procedure_id") > id_
+    if start is None:
+        return F.col("start_time").isNull() & tie
+    at = moment(start)
+    return (F.col("start_time") < at) | ((F.col("start_time") == at) & tie) | F.col("start_time").isNull()
+
+
 def robots(tables: Tables, facility_id: str | None = None, status: str | None = None) -> DataFrame:
     return where_given(tables["surgical_robots"], facility_id=facility_id, status=status).orderBy(
         "facility_name", "robot_serial_number"
@@ -56,11 +76,18 @@ def procedures(
     status: str | None = "completed",
     limit: int = 100,
     offset: int = 0,
+    after: Token | None = None,
 ) -> DataFrame:
-    """Newest first.  `status=''` lifts the default filter."""
+    """Newest first.  `status=''` lifts the default filter.
+
+    `after`, the token of the page before, costs the same at any depth: a filter on the scan, and no task keeps more
+    than `limit` rows.  `offset` keeps all rows before the page.
+    """
     found = where_given(
         tables["surgical_procedures"], robot_id=robot_id, procedure_category=category, status=status
     )
+    if after is not None:
+        found = found.filter(beyond(after))
     return page(found, [F.desc("start_time"), "procedure_id"], limit, offset)
 
 
