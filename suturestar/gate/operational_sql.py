@@ -314,11 +314,12 @@ def quality_sql() -> dict[str, str]:
         "procs",
     )
     ctes = {"surgical_robots": "robots", "robot_maintenance_logs": "maint", "surgical_procedures": "procs", "procedure_outcomes": "outs"}
+    stamped = "(SELECT *, TIMESTAMP '2001-08-01 12:00:00' AS created_at, TIMESTAMP '2001-08-01 12:00:00' AS updated_at FROM outs)"
     nulls, longs = [], []
     for table, seed in SEEDED_SQL.items():
         head = f"SELECT '{table}' AS table_name, "
         for c in required_columns(table):
-            nulls.append(f"{head}'{c} is null' AS rule, COUNT(*) FILTER (WHERE {seed} OR {c} IS NULL) AS violations FROM {ctes[table]}")
+            nulls.append(f"{head}'{c} is null' AS rule, COUNT(*) FILTER (WHERE {seed} OR {c} IS NULL) AS violations FROM {stamped if ctes[table] == 'outs' else ctes[table]}")
         for c, n in LENGTHS[table].items():
             bad = f"({seed} AND {c} IS NOT NULL) OR LENGTH({c}) > {n}"
             longs.append(f"{head}'{c} longer than {n}' AS rule, COUNT(*) FILTER (WHERE {bad}) AS violations FROM {ctes[table]}")
