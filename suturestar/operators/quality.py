@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from suturestar.schemas import schema_of
+from suturestar.schemas import OPERATIONAL_DDL
 
 # The CHECK constraints of the operational tables, as SQL conditions.
 CHECKS: dict[str, dict[str, str]] = {
@@ -81,8 +82,8 @@ def check_rules(table: str) -> dict[str, Column]:
 
 
 def required_columns(table: str) -> list[str]:
-    """The table's NOT NULL columns."""
-    return [f.name for f in schema_of(table).fields if not f.nullable]
+    """The table's NOT NULL columns, read from its definition so that no session is needed."""
+    return re.findall(r"(\w+) \w+(?:\([\d,]+\))? NOT NULL", OPERATIONAL_DDL[table])
 
 
 def model_rules(table: str) -> dict[str, Column]:

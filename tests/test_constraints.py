@@ -16,6 +16,7 @@ def test_every_rule_of_the_model_is_broken_once(spark, table):
     rules = quality.model_rules(table)
     nulls = {r.rule for r in quality.violation_counts(empty, rules).filter("violations = 1").collect()}
     assert nulls == {f"{c} is null" for c in quality.required_columns(table)}
+    assert quality.required_columns(table) == [f.name for f in schema_of(table).fields if not f.nullable]
     counts = {r.rule: r.violations for r in quality.violation_counts(empty.unionByName(long), rules).collect()}
     assert counts.keys() == rules.keys()
     assert all(counts[f"{c} longer than {n}"] == 1 for c, n in quality.LENGTHS[table].items())
