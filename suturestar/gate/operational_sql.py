@@ -543,10 +543,20 @@ def storage_sql() -> dict[str, str]:
     out["src_telemetry_json"] = with_tables(
         "SELECT procedure_id, event_type AS tool_type, COUNT(*) AS documents FROM docs GROUP BY 1, 2", "docs"
     )
-    out["snk_telemetry_stage"] = with_tables(
-        """SELECT procedure_id, sample_timestamp, timestamp_key, tool_type, tool_active, system_temperature,
-            network_latency_ms, video_fps FROM samples""",
-        "samples",
+    # What the documents lack is NULL in the stage.
+    lacking = ["arm_position_z", "arm_rotation_x", "arm_rotation_y", "arm_rotation_z", "force_feedback", "camera_zoom", "motor_current"]
+    staged = f"""SELECT procedure_id, timestamp_key, sample_timestamp, arm_position_x, arm_position_y, tool_type, tool_active,
+            system_temperature, network_latency_ms, video_fps, CAST(NULL AS INTEGER) AS lighting_level,
+            {", ".join(f"CAST(NULL AS DOUBLE) AS {c}" for c in lacking)} FROM samples"""
+    out["snk_telemetry_stage"] = with_tables(staged, "samples")
+    out["etl_raw_flatten"] = with_tables(f"{staged} WHERE event_id % 40 <> 7", "samples")
+    out["src_raw_variant"] = with_tables(
+        """SELECT 'landed' AS outcome, procedure_id, CASE WHEN unreadable THEN NULL ELSE CAST(ts AS DATE) END AS sample_date,
+            COUNT(*) AS records, CAST(SUM(event_id) AS BIGINT) AS event_ids
+        FROM docs WHERE event_id % 40 <> 7 GROUP BY 2, 3
+        UNION ALL
+        SELECT 'malformed document', NULL, NULL, COUNT(*), NULL FROM docs WHERE event_id % 40 = 7""",
+        "docs",
     )
     out["snk_fact_append"] = with_tables(
         """SELECT CAST(start_date_key // 100 AS INTEGER) AS start_month, COUNT(*) AS procedures,

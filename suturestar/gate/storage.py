@@ -17,7 +17,7 @@ from suturestar.plans import etl, load, lookups, reports, views
 from suturestar.plans.telemetry import STAGE_COLUMNS, flatten_telemetry
 from suturestar.schemas import TELEMETRY_STAGE_DDL, UNKNOWN_KEY, conform
 from suturestar.session import scratch
-from suturestar.sources import readers, writers
+from suturestar.sources import raw, readers, writers
 from suturestar.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,18 +89,7 @@ def snk_telemetry_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples, _ = flatten_telemetry(telemetry(spark, sf_dir))
     path = writers.write_telemetry_stage(samples, scratch(spark, "stage"), "20010801")
     staged = readers.read_staged_csv(spark, path, TELEMETRY_STAGE_DDL)
-    return _doubles(
-        staged.select(
-            "procedure_id",
-            "sample_timestamp",
-            "timestamp_key",
-            "tool_type",
-            "tool_active",
-            "system_temperature",
-            "network_latency_ms",
-            "video_fps",
-        )
-    )
+    return _doubles(staged)
 
 
 def snk_fact_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,6 +123,37 @@ def snk_land_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.groupBy("sample_date").agg(F.count(F.lit(1)).alias("records"))
 
 
+def _landed_raw(spark: SparkSession, sf_dir: str) -> str:
+    """Documents with a field that no schema names (`event_id`), landed as VARIANT; some lines broke off."""
+    path = scratch(spark, "raw")
+    docs = op.telemetry_documents(spark, sf_dir)
+    line = F.to_json(F.struct(*docs.columns))
+    broken = F.when(F.expr("pmod(event_id, 40) = 7"), F.left(line, F.lit(30))).otherwise(line)
+    docs.select(broken.alias("value")).write.text(f"{path}/lines")
+    jobs.stream_raw(spark, f"{path}/lines", f"{path}/landed", f"{path}/checkpoint", names="*.txt").awaitTermination()
+    return f"{path}/landed"
+
+
+def src_raw_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed records and their undeclared field per procedure and day, and the number of refused lines."""
+    landed = _landed_raw(spark, sf_dir)
+    by = [raw.field("$.procedure_id", "string").alias("procedure_id"), F.col("sample_date")]
+    counts = [F.count(F.lit(1)).alias("records"), F.sum(raw.field("$.event_id", "bigint")).alias("event_ids")]
+    records = raw.read_raw(spark, landed).groupBy(*by).agg(*counts)
+    refused = spark.read.schema("reason string, document string").json(f"{landed}/rejected")
+    none = [F.lit(None).cast(kind).alias(c) for c, kind in (("procedure_id", "string"), ("sample_date", "date"))]
+    lines = refused.groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("records"))
+    return records.withColumn("outcome", F.lit("landed")).unionByName(
+        lines.select("*", *none, F.lit(None).cast("bigint").alias("event_ids"))
+    )
+
+
+def etl_raw_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed samples cut from the VARIANT records, with the undeclared field left to them."""
+    samples, _ = flatten_telemetry(raw.documents(raw.read_raw(spark, _landed_raw(spark, sf_dir))))
+    return _doubles(samples)
+
+
 def str_valid_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _landed(spark, sf_dir)
     sides = [
@@ -289,6 +309,8 @@ QUERIES: dict[str, Query] = {
         snk_fact_append,
         snk_land_batch,
         snk_land_stream,
+        src_raw_variant,
+        etl_raw_flatten,
         snk_envelope,
         str_telemetry_intake,
         str_deduplicated,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from suturestar.operators.keys import add_keys, next_key
@@ -116,14 +116,45 @@ def scd2_merge(
     return state if keep_change else state.drop("change")
 
 
+def version_months(dim: DataFrame, key: str, columns: Sequence[str], first: Column, last: Column) -> DataFrame:
+    """The versions of `dim` once for every month, from that of `first` to that of `last`, in which they are valid.
+
+    Nothing when `first` is NULL.
+    """
+    begin = F.greatest("effective_date", first)
+    end = F.least(F.coalesce("expiration_date", last), last)
+    months = F.sequence(F.trunc(begin, "month"), F.trunc(end, "month"), F.expr("interval 1 month"))
+    return dim.select(
+        F.col(key),
+        F.col("effective_date").alias("from__"),
+        F.col("expiration_date").alias("to__"),
+        *columns,
+        F.explode(F.when(first.isNotNull() & (begin <= end), months)).alias("month__"),
+    )
+
+
 def version_as_of(
-    fact: DataFrame, dim: DataFrame, key: str, day: str, columns: Sequence[str], how: str = "inner"
+    fact: DataFrame,
+    dim: DataFrame,
+    key: str,
+    day: str,
+    columns: Sequence[str],
+    how: str = "inner",
+    span: tuple[date, date] | None = None,
 ) -> DataFrame:
-    """Join each fact row to the version of its business key that was valid on `day`."""
-    versions = dim.select(
-        F.col(key), F.col("effective_date").alias("from__"), F.col("expiration_date").alias("to__"), *columns
-    )
-    valid = (F.col("from__") <= F.col(day)) & (F.col("to__").isNull() | (F.col(day) <= F.col("to__")))
-    f, v = fact.alias("f"), versions.alias("v")
-    joined = f.join(v, (F.col(f"f.{key}") == F.col(f"v.{key}")) & valid, how)
-    return joined.select("f.*", *[F.col(f"v.{c}") for c in columns])
+    """Join each fact row to the version of its business key that was valid on `day`.
+
+    The join is on key and month; days decide within a month only.  So a fact row meets the few versions of its own
+    month, not the key's whole history, and a key that holds much of the fact is spread over its months.  Versions are
+    cut to the fact's own span, which bounds open and sentinel dates: `span` if given (rows outside it match nothing),
+    else a pass over the fact's `day` column finds it.
+    """
+    if span is None:
+        first, last = (fact.agg(f(F.to_date(day))).scalar() for f in (F.min, F.max))
+    else:
+        first, last = (F.lit(d) for d in span)
+    f, v = fact.alias("f"), version_months(dim, key, columns, first, last).alias("v")
+    month = F.trunc(F.to_date(F.col(f"f.{day}")), "month")
+    same = (F.col(f"f.{key}") == F.col(f"v.{key}")) & (month == F.col("v.month__"))
+    valid = (F.col("v.from__") <= F.col(f"f.{day}")) & (F.col("v.to__").isNull() | (F.col(f"f.{day}") <= F.col("v.to__")))
+    return f.join(v, same & valid, how).select("f.*", *[F.col(f"v.{c}") for c in columns])

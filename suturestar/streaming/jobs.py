@@ -17,6 +17,7 @@ from suturestar.operators.upsert import fold_updates
 from suturestar.plans.load import append_samples, stage_samples
 from suturestar.plans.telemetry import flatten_telemetry
 from suturestar.schemas import TELEMETRY_DOCUMENT_DDL, nullable, schema_of
+from suturestar.sources.raw import land_raw
 from suturestar.sources.readers import CORRUPT, telemetry_options
 from suturestar.sources.snapshots import exists
 
@@ -103,6 +104,34 @@ def stream_refused(
     return _start(telemetry_files(spark, path, max_files), sink, checkpoint, available_now, interval)
 
 
+def raw_lines(
+    spark: SparkSession, path: str, max_files: int | None = FILES_PER_TRIGGER, names: str = "*.json"
+) -> DataFrame:
+    """The lines of the files below `path` whose names match, as a stream."""
+    reader = spark.readStream.option("pathGlobFilter", names).option("recursiveFileLookup", "true")
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.text(path)
+
+
+def stream_raw(
+    spark: SparkSession,
+    path: str,
+    landing: str,
+    checkpoint: str,
+    max_files: int | None = FILES_PER_TRIGGER,
+    available_now: bool = True,
+    interval: str = "1 minute",
+    names: str = "*.json",
+) -> StreamingQuery:
+    """Land every record with all its fields as VARIANT, and what is no record beside it."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        land_raw(batch, landing, batch_id)
+
+    return _start(raw_lines(spark, path, max_files, names), sink, checkpoint, available_now, interval)
+
+
 def stream_ingest(
     spark: SparkSession,
     path: str,
@@ -116,9 +145,6 @@ def stream_ingest(
 
     A line holds one record or an array of them.  Records that are no telemetry document are rejected as well; every rejected record is kept with its reason.
     """
-    reader = spark.readStream.option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true")
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
@@ -137,7 +163,7 @@ def stream_ingest(
             "overwrite"
         ).json(f"{landing}/rejected/batch_id={batch_id}")
 
-    return _start(reader.text(path), sink, checkpoint, available_now, interval)
+    return _start(raw_lines(spark, path, max_files), sink, checkpoint, available_now, interval)
 
 
 def stream_procedures(
