@@ -10,8 +10,8 @@ of 0.8 meet in none with a chance of (1 - 0.8 ** ROWS) ** BANDS = 5e-9.
    are one class from here on.
 2. Buckets of a single class go.  Each other bucket names a few centres, and every other class in it makes candidate
    edges with these only: a star, so a bucket of k classes has candidates in proportion to k, not to its square.
-3. A candidate edge is dropped at once if the sizes of its sets, or how many of SKETCH_BITS bits of them differ, rule a
-   link out.  The others are confirmed on the full sets; links merge classes into components.
+3. A candidate edge is dropped at once if the sizes of its sets, or how many of the SKETCH_BITS bits of their odd
+   sketches differ, rule a link out.  The others are confirmed on the full sets; links merge classes into components.
 4. Centres have met all of their bucket and leave it; buckets whose classes are now of one component close.  Others take
    MORE_CENTRES times the centres in the next round, until none is open.  So every pair of classes that shares a bucket is confirmed,
    refused, or connected already, and nothing is capped.  A class's turn in a bucket is its hash times the bucket's size, so
@@ -86,10 +86,13 @@ def band_keys(s: np.ndarray) -> np.ndarray:
 
 
 def sketch_bits(s: np.ndarray) -> np.ndarray:
-    """SKETCH_BITS bits, those that a hash of the set falls on: sets differ in at least as many shingles as bits."""
-    held = np.zeros(SKETCH_BITS, bool)
-    held[s & np.uint64(SKETCH_BITS - 1)] = True
-    return np.packbits(held).view(np.int64)
+    """SKETCH_BITS bits (an odd sketch): whether an odd number of the set's hashes falls on each.
+
+    What two sets share cancels out, so their bits differ only where the shingles in one of them do: at most as many
+    bits as such shingles, and few less, however large the shared part is.
+    """
+    fallen = np.bincount((s & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS)
+    return np.packbits((fallen & 1).astype(bool)).view(np.int64)
 
 
 def _sketched(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
