@@ -11,7 +11,8 @@ of 0.8 meet in none with a chance of (1 - 0.8 ** ROWS) ** BANDS = 5e-9.
 2. Buckets of a single class go.  Each other bucket names a few centres, and every other class in it makes candidate
    edges with these only: a star, so a bucket of k classes has candidates in proportion to k, not to its square.
 3. A candidate edge is dropped at once if the sizes of its sets, or how many of the SKETCH_BITS bits of their odd
-   sketches differ, rule a link out.  The others are confirmed on the full sets; links merge classes into components.
+   sketches differ, rule a link out.  The others are confirmed on the full sets, save pairs that links of the same task
+   connect already; links merge classes into components.
 4. Centres have met all of their bucket and leave it; buckets whose classes are now of one component close.  Others take
    MORE_CENTRES times the centres in the next round, until none is open.  So every pair of classes that shares a bucket is confirmed,
    refused, or connected already, and nothing is capped.  A class's turn in a bucket is its hash times the bucket's size, so
@@ -150,12 +151,21 @@ def star(members: DataFrame, centres: int, total: int) -> tuple[DataFrame, DataF
 
 
 def _confirmed(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The candidate pairs whose full sets reach the threshold."""
+    """The candidate pairs whose full sets reach the threshold, but for those that the task's other links connect."""
     sets: dict[int, np.ndarray] = {}
+    parent: dict[int, int] = {}
     held = 0
+
+    def find(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = x = parent.get(parent[x], parent[x])
+        return x
+
     for rows in sliced(batches, SLICE_BYTES, "text_a", "text_b"):
         if held > KEPT_SETS:
             sets, held = {}, 0
+        if len(parent) > DONE_CLASSES:
+            parent.clear()
         texts = {}
         for side in "ab":
             for k, t in zip(rows.column(side).to_pylist(), rows.column(f"text_{side}").cast(pa.binary()).to_pylist()):
@@ -166,9 +176,11 @@ def _confirmed(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
             held += len(s)
         linked = []
         for a, b in zip(rows.column("a").to_pylist(), rows.column("b").to_pylist()):
-            x, y = sets[a], sets[b]
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            linked.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+            x, y, root_a, root_b = sets[a], sets[b], find(a), find(b)
+            both = len(np.intersect1d(x, y, assume_unique=True)) if root_a != root_b else 0
+            linked.append(root_a != root_b and 100 * both >= PERCENT * (len(x) + len(y) - both))
+            if linked[-1]:
+                parent[root_b] = root_a
         found = rows.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
         yield pa.RecordBatch.from_arrays(found.columns, names=["u", "v"])
 
@@ -232,6 +244,10 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", wo
         for side in "ba":
             edges = edges.join(texts.select(F.col("class").alias(side), F.col("text").alias(f"text_{side}")), side)
         links = edges.select("a", "b", "text_a", "text_b").mapInArrow(lambda it: _confirmed(words, it), "u long, v long")
+        # Which links of a cycle a task leaves out depends on its rows' order, so they are written before use.
+        links = kept(links, "links")
+        if links.isEmpty():
+            continue
         of = [roots.select(F.col("class").alias(c), F.col("root").alias(f"root_{c}")) for c in "uv"]
         merged = components(links.join(of[0], "u").join(of[1], "v").select(F.col("root_u").alias("u"), F.col("root_v").alias("v")))
         merged = merged.select(F.col("node").alias("root"), F.col("root").alias("to"))

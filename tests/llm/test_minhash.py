@@ -122,3 +122,18 @@ def test_bits_refuse_no_link_and_most_others(spark):
     may = {r.k for r in side("p").alias("x").join(side("q").alias("y"), "k").filter(mh.may_link("x", "y")).collect()}
     assert {k for k, yes in enumerate(linked) if yes} <= may
     assert len(may) < sum(linked) + 60
+
+
+def test_a_task_leaves_out_what_its_links_connect():
+    """All pairs of 30 close texts and 2 far ones: one link less than close texts, and these all connected."""
+    import pyarrow as pa
+
+    texts = [" ".join(f"w{i}" for i in range(100)) + f" end{k}" for k in range(30)] + ["far away", "somewhere else"]
+    pairs = [(a, b) for a in range(32) for b in range(a)]
+    columns = [pa.array(c) for c in zip(*[(a, b, texts[a], texts[b]) for a, b in pairs])]
+    batch = pa.RecordBatch.from_arrays(columns, names=["a", "b", "text_a", "text_b"])
+    links = [tuple(r.values()) for out in mh._confirmed(2, iter([batch])) for r in out.to_pylist()]
+    reached = {0}
+    for _ in links:
+        reached |= {x for link in links if set(link) & reached for x in link}
+    assert len(links) == 29 and reached == set(range(30))
