@@ -23,6 +23,19 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -
     return df.withColumn("rank__", newest).filter("rank__ = 1").drop("rank__")
 
 
+def greatest_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The row per key that `one_per_key` gives without an `order`, as a grouped maximum.
+
+    For wide rows that a join on `keys` has just sorted: the aggregate takes them in that order, where a window would
+    sort them once more by all columns.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    best = df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("best__"))
+    return best.select(*[F.col(c) if c in keys else F.col("best__")[c].alias(c) for c in df.columns])
+
+
 def only_new(stage: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of `stage` whose key `target` lacks.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from suturestar.functions.lists import items
 from suturestar.functions.timekeys import date_key, full_years, moment, time_key
 from suturestar.operators.lookup import Lookup, resolve_keys
-from suturestar.operators.rows import one_per_key, only_new
+from suturestar.operators.rows import greatest_per_key, only_new
 from suturestar.plans.star import Star
 
 SPECIALIZATION = "General Surgery"
@@ -141,7 +141,8 @@ def extract_procedures(
 ) -> DataFrame:
     """Procedures that start in [start, end), with their robot's facility and their outcome, if any.
 
-    Spark turns the window into a filter on the procedure scan; outcomes are joined to what is left.
+    Spark turns the window into a filter on the procedure scan; outcomes are joined to what is left.  They are joined
+    last, so the rows lie by procedure for the steps that follow.
     """
     homes = robots.select("robot_id", "facility_id")
     results = normalise_outcomes(outcomes).select(
@@ -155,8 +156,8 @@ def extract_procedures(
     )
     return (
         procedures.filter(in_window(F.col("start_time"), start, end))
-        .join(results, "procedure_id", "left")
         .join(homes, "robot_id", "left")
+        .join(results, "procedure_id", "left")
         .select(
             "procedure_id",
             "robot_id",
@@ -187,9 +188,10 @@ def extract_procedures(
 def stage_facts(stage: DataFrame, star: Star, existing: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(new fact rows with dimension keys, the rejects among them).
 
-    Copies within the batch are dropped first, then what the fact holds already, then keys are looked up.
+    What the fact holds already is dropped first, so a repeated load sorts nothing, then copies within the batch; then
+    keys are looked up.
     """
-    fresh = only_new(one_per_key(stage, ["procedure_id"]), existing, ["procedure_id"])
+    fresh = greatest_per_key(only_new(stage, existing, ["procedure_id"]), ["procedure_id"])
     return resolve_keys(
         fresh,
         {

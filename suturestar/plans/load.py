@@ -25,6 +25,8 @@ PROCEDURES, TELEMETRY = "fact_procedures", "fact_procedure_telemetry"
 BUCKETS = 4
 # A fact whose fullest bucket holds this many times its share is read as plain files, which Spark can split.
 LOPSIDED, LOPSIDED_ROWS = 4, 1_000_000
+# So is one whose buckets hold more rows than one task should sort: the number of buckets is fixed, the rows are not.
+BUCKET_ROWS = 500_000
 KEYS = {"dim_facilities": "facility_key", "dim_surgeons": "surgeon_key", "dim_robots": "robot_key"}
 IDS = {"dim_facilities": "facility_id", "dim_surgeons": "surgeon_id", "dim_robots": "robot_id"}
 ETL_TYPES = ("full", "dimensions", "procedures", "telemetry")
@@ -46,7 +48,7 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
         return _empty(spark, table) if found is None else found
     layout, path = writers.LAYOUTS[table], f"{root}/{table}"
     schema, state = nullable(schema_of(table)), ledger.last(spark, root, table)
-    if state.get("buckets") and not _lopsided(state.get("loads")):
+    if state.get("buckets") and not _lopsided(state.get("loads")) and not _full(state):
         return read_bucketed(spark, path, schema, layout, state["buckets"])
     if not exists(spark, path):
         return _empty(spark, table).withColumn(layout.partition, F.lit(None).cast(layout.kind))
@@ -59,6 +61,13 @@ def _lopsided(loads: list[int] | None) -> bool:
     return bool(loads) and sum(loads) >= LOPSIDED_ROWS and max(loads) * len(loads) > LOPSIDED * sum(loads)
 
 
+def _full(state: dict) -> bool:
+    """Whether a bucket, which one task reads and sorts, holds more than BUCKET_ROWS rows."""
+    if state.get("loads"):
+        return max(state["loads"]) > BUCKET_ROWS
+    return (state.get("rows") or 0) > BUCKET_ROWS * state["buckets"]
+
+
 def _first_key(held: ledger.Claim, existing: DataFrame, key: str) -> Column | int:
     """Above which key a load may number: the ledger's mark, or the table's own maximum where there is none to trust."""
     mark = held.before.get("key")
@@ -169,6 +178,8 @@ def load_procedures(
             PROCEDURES, conform(numbered, PROCEDURES, now), path, lambda df: df.observe(seen, *counts), held.values["buckets"]
         )
         _mark(held, first, seen.get["top"])
+        # Keys are spread evenly over the buckets, so the rows of all tell those of one.
+        held.values["rows"] = (held.before.get("rows") or 0) + seen.get["inserted"]
     return ("procedures", SUCCESS, seen.get["inserted"], 0, seen.get["rejected"], "")
 
 

@@ -206,3 +206,18 @@ def test_old_snapshots_can_be_dropped(spark, tmp_path):
         snapshots.write_snapshot(spark.range(n), root, "dim_robots")
     assert snapshots.drop_old(spark, root, "dim_robots") == ["00000001"]
     assert snapshots.read_snapshot(spark, root, "dim_robots").count() == 3
+
+
+def test_facts_are_deduplicated_without_a_sort_of_their_own(spark, tables, tmp_path):
+    """Rows that the join with the outcomes has sorted by procedure are not sorted once more by all columns."""
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stage = etl.extract_procedures(
+            tables["surgical_procedures"].unionByName(tables["surgical_procedures"]), tables["surgical_robots"], tables["procedure_outcomes"], *WINDOW
+        )
+        fresh, _ = etl.stage_facts(stage, load.load_star(spark, str(tmp_path)), load.read_table(spark, str(tmp_path), load.PROCEDURES))
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and sorted(r.procedure_id for r in fresh.collect()) == ["p1", "p2", "p4"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)

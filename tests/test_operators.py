@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from suturestar.operators import quality
 from suturestar.operators.keys import add_keys, add_sparse_keys, next_key
 from suturestar.operators.lookup import Lookup, resolve_keys
-from suturestar.operators.rows import one_per_key, only_new
+from suturestar.operators.rows import greatest_per_key, one_per_key, only_new
 from suturestar.operators.scd import scd2_changes, scd2_merge, version_as_of
 from suturestar.operators.upsert import OPERATIONAL_LINKS, cascade_delete, upsert
 
@@ -198,3 +198,13 @@ def test_overlaps_are_found(spark):
         (5, "c", "C", "x", D0, None, True),
     )
     assert {r.id for r in quality.version_overlaps(bad, "id").collect()} == {"a", "b"}
+
+
+def test_greatest_per_key_is_one_per_key(spark):
+    ddl = "id string, a int, b string, c decimal(3,1), d double"
+    rows = [("x", 1, "p", None, 1.0), ("x", 1, None, None, 2.0), ("x", None, "z", None, float("nan")), (None, 2, "q", None, None),
+            (None, 2, "q", None, 0.5), ("y", None, None, None, None), ("y", None, None, None, None)]
+    df = spark.createDataFrame(rows, ddl)
+    got, want = greatest_per_key(df, ["id"]), one_per_key(df, ["id"])
+    assert got.schema.names == want.schema.names and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert greatest_per_key(df.select("id"), ["id"]).count() == 3

@@ -233,3 +233,20 @@ def test_samples_that_wait_too_long_are_given_up_and_counted(spark, star_root, t
     assert {r.procedure_id for r in load.waiting_samples(spark, star_root).collect()} == {"n3"}
     assert {r.procedure_id for r in spark.read.parquet(f"{star_root}/{waiting.EXPIRED}").collect()} == {"n1"}
     assert load.expire_waiting(spark, star_root, date(2024, 2, 1))[4] == 0
+
+
+def test_a_fact_that_outgrew_its_buckets_is_read_as_plain_files(spark, star_root, monkeypatch):
+    """The number of buckets is fixed by the first load, so a bucket grows with the fact; a task must not."""
+
+    def bucketed(table):
+        plan = load.read_table(spark, star_root, table).groupBy("procedure_key").count()._jdf.queryExecution().executedPlan().toString()
+        return "Bucketed: true" in plan
+
+    assert bucketed(load.TELEMETRY) and bucketed(load.PROCEDURES)
+    monkeypatch.setattr(load, "BUCKET_ROWS", 20)
+    assert not bucketed(load.TELEMETRY) and len(held(spark, star_root)) == 120
+    # The record of the procedures' rows; one without it, from before, stays as it was.
+    assert bucketed(load.PROCEDURES)
+    with ledger.writing(spark, star_root, load.PROCEDURES) as claim:
+        claim.values["rows"] = 81
+    assert not bucketed(load.PROCEDURES) and load.read_table(spark, star_root, load.PROCEDURES).count() == 40
