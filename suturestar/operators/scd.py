@@ -148,12 +148,15 @@ def version_as_of(
     month, not the key's whole history, and a key that holds much of the fact is spread over its months.  Versions are
     cut to the fact's own span, which bounds open and sentinel dates: `span` if given (rows outside it match nothing),
     else a pass over the fact's `day` column finds it.
+
+    The join is asked to merge: Spark takes the versions' months for as small as the versions and would send them
+    whole to every task.
     """
     if span is None:
         first, last = (fact.agg(f(F.to_date(day))).scalar() for f in (F.min, F.max))
     else:
         first, last = (F.lit(d) for d in span)
-    f, v = fact.alias("f"), version_months(dim, key, columns, first, last).alias("v")
+    f, v = fact.alias("f"), version_months(dim, key, columns, first, last).hint("merge").alias("v")
     month = F.trunc(F.to_date(F.col(f"f.{day}")), "month")
     same = (F.col(f"f.{key}") == F.col(f"v.{key}")) & (month == F.col("v.month__"))
     valid = (F.col("v.from__") <= F.col(f"f.{day}")) & (F.col("v.to__").isNull() | (F.col(f"f.{day}") <= F.col("v.to__")))

@@ -200,6 +200,15 @@ def test_overlaps_are_found(spark):
     assert {r.id for r in quality.version_overlaps(bad, "id").collect()} == {"a", "b"}
 
 
+def test_versions_are_not_broadcast_month_by_month(spark, base):
+    """Spark's estimate of the versions' months is that of the versions, so it would send them whole to every task."""
+    fact = spark.createDataFrame([("d", D0), ("q", D0)], "id string, day date")
+    out = version_as_of(fact, base, "id", "day", ["name"], span=(date(2019, 1, 1), date(2024, 12, 31)))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    assert [tuple(r) for r in out.collect()] == [("d", D0, "Dee")]
+
+
 def test_greatest_per_key_is_one_per_key(spark):
     ddl = "id string, a int, b string, c decimal(3,1), d double"
     rows = [("x", 1, "p", None, 1.0), ("x", 1, None, None, 2.0), ("x", None, "z", None, float("nan")), (None, 2, "q", None, None),
