@@ -25,6 +25,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
@@ -36,6 +37,7 @@ KEPT_PIECES = 400_000
 SMALL_SLICE = 2 << 20
 SMALL_PIECES = 100_000
 SMALL_LETTERS = 8 << 20
+NAMES = 2 << 20
 _ENCODED = [StructField("ids", BinaryType()), StructField("n_tokens", LongType()), StructField("decoded", StringType())]
 # White space as the normaliser of the vocabulary has it, as ranges (fixed values).
 SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
@@ -81,6 +83,7 @@ class Vocabulary:
         self.token = [""] * size
         for name, i in [*names.items(), *self.special.items()]:
             self.token[i] = name
+        self.names = pa.array(self.token, pa.string())
         self.width = max(16, size.bit_length())
         self.letter = self._byte_letters()
         self.byte_of = {c: b for b, c in enumerate(self.letter)}
@@ -110,9 +113,21 @@ class Vocabulary:
         hit = self.keys[at] == keys
         return hit, self.rank_of[at[hit]]
 
+    def normalized(self, pieces: list[str]) -> list[str]:
+        """Pieces without white space, normalised: nothing looks across white space, so one call does all that need it."""
+        odd = [p for p in pieces if not p.isascii()]
+        done = self.normalize(" ".join(odd)).split(" ") if odd else []
+        if len(done) != len(odd):
+            done = [self.normalize(p) for p in odd]
+        following = iter(done)
+        return [p.lower() if p.isascii() else next(following) for p in pieces]
+
     def cut(self, piece: str) -> list[str]:
         """Words of a piece without white space."""
-        piece = piece.lower() if piece.isascii() else self.normalize(piece)
+        return self.words_of(self.normalized([piece])[0])
+
+    def words_of(self, piece: str) -> list[str]:
+        """Words of a normalised piece."""
         if not piece.isascii() and max(piece) > LATIN:
             # Letters added in recent Unicode versions: the library's own tables decide.
             return [bytes(map(self.byte_of.__getitem__, w)).decode() for w, _ in self.library.pre_tokenizer.pre_tokenize_str(piece)]
@@ -140,6 +155,7 @@ class PairIndex:
         self.next[self.ends - 1] = -1
         self.before = np.arange(-1, n - 1)
         self.before[self.ends[:-1]] = -1
+        self.mark = np.full(n, -1)
         self.places: dict[int, list[np.ndarray]] = {}
         self.waiting: list[int] = []
         self._enter(np.flatnonzero(self.next >= 0))
@@ -160,11 +176,19 @@ class PairIndex:
                 self.places[r] = [where]
                 heapq.heappush(self.waiting, r)
 
+    def _distinct(self, at: np.ndarray) -> np.ndarray:
+        """Each position once: of those that repeat, the one that wrote its place last."""
+        turn = np.arange(len(at))
+        self.mark[at] = turn
+        return at[self.mark[at] == turn]
+
     def _merge(self, rank: int) -> None:
         where = self.places.pop(rank)
-        at = np.unique(np.concatenate(where)) if len(where) > 1 else where[0]
+        at = np.concatenate(where) if len(where) > 1 else where[0]
         a, b = self.v.left[rank], self.v.right[rank]
         at = at[self.symbol[at] == a]
+        if len(where) > 1:
+            at = self._distinct(at)
         mate = self.next[at]
         good = mate >= 0
         at, mate = at[good], mate[good]
@@ -184,8 +208,13 @@ class PairIndex:
         self.next[at] = after
         more = after >= 0
         self.before[after[more]] = at[more]
-        left = self.before[at]
-        self._enter(np.unique(np.concatenate((left[left >= 0], at[more]))))
+        left, right = self.before[at], at[more]
+        left = left[left >= 0]
+        # Neither repeats a position; one that is in both is entered once.
+        self.mark[left] = -2
+        once = right[self.mark[right] != -2]
+        self.mark[left] = -1
+        self._enter(np.concatenate((left, once)))
 
     def run(self) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words, joined, and each word's offsets."""
@@ -232,12 +261,12 @@ class Encoder:
         index: list[int] = []
         counts = np.empty(len(pieces), np.int64)
         fixed: list[int] = []
-        for k, piece in enumerate(pieces):
+        for k, (piece, plain) in enumerate(zip(pieces, self.vocabulary.normalized(pieces))):
             if piece in special:
                 fixed.append(k)
                 counts[k] = 0
                 continue
-            cut = self.vocabulary.cut(piece)
+            cut = self.vocabulary.words_of(plain)
             counts[k] = len(cut)
             index.extend(map(words.__getitem__, cut))
         if words:
@@ -270,6 +299,20 @@ class Encoder:
         return out
 
 
+def joined(tokens: pa.Array, ids: list[np.ndarray]) -> pa.Array:
+    """The names of every row's ids, joined by spaces; about NAMES at a time are laid out."""
+    out, at = [], 0
+    ends = np.cumsum([len(x) for x in ids], dtype=np.int64)
+    while at < len(ids):
+        base = int(ends[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, base + NAMES, "right")))
+        offsets = np.concatenate(([0], ends[at:end] - base))
+        names = tokens.take(pa.array(np.concatenate(ids[at:end]).astype(np.int64)))
+        out.append(pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), names), " "))
+        at = end
+    return pa.concat_arrays(out) if out else pa.array([], pa.string())
+
+
 def slices(texts: list[str | None]):
     """Runs of texts of at most SLICE characters, a longer text alone."""
     part, size = [], 0
@@ -311,8 +354,7 @@ def decode(ids: Column, path: str | None = None) -> Column:
 
     @F.arrow_udf("string")
     def text(rows: pa.Array) -> pa.Array:
-        name = encoder(path).vocabulary.token.__getitem__
-        return pa.array([" ".join(map(name, np.frombuffer(r or b"", "<u4").tolist())) for r in rows.to_pylist()], pa.string())
+        return joined(encoder(path).vocabulary.names, [np.frombuffer(r or b"", "<u4") for r in rows.to_pylist()])
 
     return text(ids)
 
@@ -329,13 +371,12 @@ def encoded(docs: DataFrame, text: str = "text", path: str | None = None) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = small_encoder(path)
-        name = coder.vocabulary.token.__getitem__
         for part in sliced(batches, SMALL_SLICE, text):
             ids = coder.encode(part.column(text).to_pylist())
             new = [
                 pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()),
                 pa.array([len(x) for x in ids], pa.int64()),
-                pa.array([" ".join(map(name, x.tolist())) for x in ids], pa.string()),
+                joined(coder.vocabulary.names, ids),
             ]
             yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, "ids", "n_tokens", "decoded"])
 

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -80,3 +81,22 @@ def test_encoded_in_one_pass_of_slices(spark, library, monkeypatch):
         assert np.frombuffer(r.ids, "<u4").tolist() == want and r.n_tokens == len(want)
         assert r.decoded == library.decode(want, skip_special_tokens=False)
     assert bpe.encoded(df.limit(0)).count() == 0
+
+
+def test_pieces_are_normalised_in_one_call():
+    """One call of the library's normaliser for all pieces that need it, with the same result as one each."""
+    vocabulary = bpe.Encoder(bpe.default_vocabulary()).vocabulary
+    pieces = ["Plain", "\u00c4pfel", "e\u0301t\u00e9", "\u0301x", "\u03a3\u0391\u03a3", "\u0130", "a\x1cB\u00e9", "\u1e9e", "x" * 300 + "\u00e9"]
+    alone = [vocabulary.normalize(p) for p in pieces]
+    calls, plain = [], vocabulary.normalize
+    vocabulary.normalize = lambda text: calls.append(text) or plain(text)
+    assert vocabulary.normalized(pieces) == alone and len(calls) == 1
+    assert vocabulary.normalized([]) == [] == vocabulary.normalized(["A"])[1:]
+
+
+def test_names_are_joined_as_python_joins_them(monkeypatch):
+    monkeypatch.setattr(bpe, "NAMES", 4)
+    tokens = ["a</w>", "", "\u00e9", "long name"]
+    ids = [np.array(x, np.uint32) for x in ([0, 1, 2], [], [3], [1], [2, 2, 2, 2, 2, 0], [])]
+    want = [" ".join(tokens[i] for i in x) for x in ids]
+    assert bpe.joined(pa.array(tokens), ids).to_pylist() == want and bpe.joined(pa.array(tokens), []).to_pylist() == []
