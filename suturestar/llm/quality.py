@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from suturestar.llm.frames import read
+from suturestar.llm.frames import read, sliced
 
 POSITIVES = 6_000
 UNLABELLED = 12_000
@@ -40,6 +40,7 @@ DECAY = 1e-4
 KEEP = 0.3
 SIGNS = b"!#$%&*|\"=.,;:-_/<>()[]{}@?'+"
 PAIRS = 256
+SLICE = 1 << 20
 DENSE = 14 + len(SIGNS)
 SIZE = DENSE + PAIRS
 
@@ -90,7 +91,9 @@ class Model:
     prior: float
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        z = ((x - self.mean) / self.scale) @ self.weight + self.bias
+        z = x - self.mean
+        z /= self.scale
+        z = z @ self.weight + self.bias
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -127,9 +130,20 @@ def held_out(id_: Column) -> Column:
     return F.crc32(F.coalesce(id_.cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
+def matrix(texts: pa.Array) -> np.ndarray:
+    """The features of a batch's texts, of which about SLICE bytes are Python strings at a time."""
+    x = np.empty((len(texts), SIZE), np.float32)
+    at = 0
+    for part in sliced([pa.RecordBatch.from_arrays([texts], names=["text"])], SLICE, "text"):
+        for t in part.column("text").to_pylist():
+            x[at] = features(t)
+            at += 1
+    return x
+
+
 def _blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [features(t).tobytes() for t in batch.column("text").to_pylist()]
+        rows = [row.tobytes() for row in matrix(batch.column("text"))]
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["x"])
 
 
@@ -165,8 +179,7 @@ def fit(
 def scored(text: Column, model: Model) -> Column:
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        x = np.array([features(t) for t in texts.to_pylist()], np.float32).reshape(len(texts), SIZE)
-        return pa.array(model.score(x))
+        return pa.array(model.score(matrix(texts)))
 
     return score(text)
 

@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from suturestar.llm import quality as q
@@ -41,3 +44,15 @@ def test_odd_rows(spark, odd_documents):
     nothing = q.fit(odd_documents, labels.limit(0))
     assert {r.s for r in odd_documents.select(q.scored(F.col("text"), nothing).alias("s")).collect()} == {0.5}
     assert odd_documents.limit(0).select(q.scored(F.col("text"), model)).count() == 0
+
+
+def test_a_batch_is_scored_in_slices():
+    """A batch's texts are never all Python strings at once, and slices change no feature."""
+    texts = [None, "", *[f"Word {i} " * 2_000 for i in range(600)], "end"]
+    batch = pa.array(texts, pa.string())
+    tracemalloc.start()
+    x = q.matrix(batch)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert batch.nbytes > 10 << 20 and peak < x.nbytes + (8 << 20)
+    assert x.tobytes() == np.array([q.features(t) for t in texts], np.float32).tobytes()
