@@ -221,3 +221,15 @@ def test_facts_are_deduplicated_without_a_sort_of_their_own(spark, tables, tmp_p
         assert "Window" not in plan and sorted(r.procedure_id for r in fresh.collect()) == ["p1", "p2", "p4"]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_a_repeated_load_extracts_once_and_leaves_nothing_staged(spark, tables, tmp_path, monkeypatch):
+    root, read = str(tmp_path), []
+    seen = load.etl.stage_facts
+    monkeypatch.setattr(load.etl, "stage_facts", lambda stage, *rest: read.append(stage.inputFiles()) or seen(stage, *rest))
+    for _ in range(2):
+        load.run_pipeline(spark, tables, root, "full", *WINDOW, as_of=date(2024, 6, 1), now=NOW)
+    assert not any("staged_procedures" in f for f in read[0]) and all("staged_procedures" in f for f in read[1])
+    assert load.read_table(spark, root, load.PROCEDURES).count() == 3
+    assert not list((tmp_path / "staged_procedures").iterdir())
+    assert load.ledger.last(spark, root, load.PROCEDURES)["rows"] == 3
