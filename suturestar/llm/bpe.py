@@ -37,7 +37,7 @@ KEPT_PIECES = 400_000
 SMALL_SLICE = 2 << 20
 SMALL_PIECES = 100_000
 SMALL_LETTERS = 8 << 20
-NAMES = 2 << 20
+NAMES = 1 << 18
 _ENCODED = [StructField("ids", BinaryType()), StructField("n_tokens", LongType()), StructField("decoded", StringType())]
 # White space as the normaliser of the vocabulary has it, as ranges (fixed values).
 SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
@@ -240,9 +240,9 @@ class Encoder:
     def __init__(self, path: str, by_library: bool = False, pieces: int | None = None, letters: int | None = None):
         self.vocabulary, self.by_library = Vocabulary(path), by_library
         self.most_pieces, self.most_letters = KEPT_PIECES if pieces is None else pieces, letters
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.letters = 0
         self.seen, self.flat, self.offsets = _Seen(), np.empty(0, np.uint32), np.zeros(1, np.int64)
 
@@ -287,7 +287,7 @@ class Encoder:
         out: list[np.ndarray] = []
         for part in slices(texts):
             if len(self.seen) > self.most_pieces or (self.most_letters and self.letters > self.most_letters):
-                self._forget()
+                self.forget()
             known, seen = len(self.seen), self.seen
             rows = [np.fromiter(map(seen.__getitem__, self.vocabulary.pieces(t or "")), np.int64) for t in part]
             if len(seen) > known:
@@ -379,6 +379,10 @@ def encoded(docs: DataFrame, text: str = "text", path: str | None = None) -> Dat
                 joined(coder.vocabulary.names, ids),
             ]
             yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, "ids", "n_tokens", "decoded"])
+            del ids, new
+        # The worker lives on and serves other stages, which need the room.
+        coder.forget()
+        pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, StructType([*rows.schema.fields, *_ENCODED]))
 

@@ -5,6 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from tokenizers import Tokenizer
 
 from suturestar.llm import bpe
@@ -100,3 +101,17 @@ def test_names_are_joined_as_python_joins_them(monkeypatch):
     ids = [np.array(x, np.uint32) for x in ([0, 1, 2], [], [3], [1], [2, 2, 2, 2, 2, 0], [])]
     want = [" ".join(tokens[i] for i in x) for x in ids]
     assert bpe.joined(pa.array(tokens), ids).to_pylist() == want and bpe.joined(pa.array(tokens), []).to_pylist() == []
+
+
+def test_a_partition_leaves_no_table_behind():
+    """Workers outlive a stage; what the encoder kept between slices must not."""
+    pieces = bpe.small_encoder(bpe.default_vocabulary())
+    docs = pa.RecordBatch.from_arrays([pa.array([f"word{i} other{i}" for i in range(50)])], names=["text"])
+
+    class Rows:
+        columns, schema = ["text"], StructType([StructField("text", StringType())])
+        select = lambda self, *_: self
+        mapInArrow = lambda self, run, _: list(run(iter([docs])))
+
+    (out,) = bpe.encoded(Rows())
+    assert out.num_rows == 50 and len(pieces.seen) == 0 == len(pieces.flat)
