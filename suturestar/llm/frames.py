@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from suturestar.session import scratch
 
+# Spark's setting that removes an execution's shuffle files at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -25,10 +28,18 @@ def importable(spark: SparkSession) -> None:
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts the lineage and survives lost executors."""
+    """Write to the shared folder and read back: cuts the lineage and survives lost executors.
+
+    Nothing reads the write's shuffle files again, so they go with it instead of when the driver collects garbage.
+    """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

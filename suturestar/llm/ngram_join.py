@@ -23,6 +23,9 @@ Work per step, none of which lists all pairs of a group:
 
 Counts of frequent shingles and the bound on their number (FREQUENT, broadcast) change only the order, never results.
 
+Texts move only where they may be compared: a broadcast bit table of the rows or classes asked for (at most MOST_BITS
+bits) drops most others before each shuffle of texts; the join after it is exact, whatever the table lets through.
+
 Null and empty texts have no shingles and are linked with nothing.  A null id gets no component and links nothing.
 Ids identify documents: rows that repeat an id are answered each.  Extra columns are ignored.
 """
@@ -59,6 +62,10 @@ SMALL = 32
 BLOCK = 1024
 COLUMNS = 4096
 PAYS = 0.7
+# Bits of a table for each value it holds, the most bits of one, and those of one value of bitmap_construct_agg.
+BITS_EACH = 32
+MOST_BITS = 1 << 26
+BITMAP = 1 << 15
 
 
 def least_overlap(n: int) -> int:
@@ -76,6 +83,44 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, SLICE_ROWS)
 
 
+class BitTable:
+    """Which values may be in the only column of `wanted`, of at most `count` values: all that are, and few others."""
+
+    def __init__(self, wanted: DataFrame, count: int) -> None:
+        self.size = min(MOST_BITS, max(BITMAP, 1 << (BITS_EACH * count - 1).bit_length()))
+        at = self.place(wanted.columns[0])
+        parts = wanted.groupBy(F.floor(at / BITMAP).alias("part")).agg(F.bitmap_construct_agg(at % BITMAP).alias("bits")).collect()
+        table = np.zeros(self.size // 8, np.uint8)
+        for p in parts:
+            table[p.part * BITMAP // 8 :][: BITMAP // 8] = np.frombuffer(p.bits, np.uint8)
+        self.sent = wanted.sparkSession.sparkContext.broadcast(table)
+
+    def place(self, column: str) -> Column:
+        return F.xxhash64(column).bitwiseAND(F.lit(self.size - 1))
+
+    def test(self):
+        """A function that tells of places whether their bits are set."""
+        sent = self.sent
+
+        def may(places: pa.Array) -> pa.Array:
+            i = places.to_numpy(zero_copy_only=False)
+            return pa.array((sent.value[i >> 3] >> (i & 7)) & 1 == 1)
+
+        return may
+
+
+def asked_texts(texts: DataFrame, classes: DataFrame, count: int) -> DataFrame:
+    """The texts of the classes, and few others; written, so that no task has a second Python worker for the test."""
+    bits = BitTable(classes, count)
+    test = bits.test()
+
+    @F.arrow_udf("boolean")
+    def may(places: pa.Array) -> pa.Array:
+        return test(places)
+
+    return kept(texts.select("class", "text").filter(may(bits.place("class"))), "asked")
+
+
 # ---------------------------------------------------------------- step 1: sizes, keys, frequent shingles
 
 
@@ -302,7 +347,7 @@ def block_links(many: DataFrame, texts: DataFrame) -> DataFrame:
     own = own.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     sent = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     sent = sent.select("token", "class", "root", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    rows = sent.join(texts.select("class", "text"), "class").select("token", "low", "high", "block", "root", "text")
+    rows = sent.join(asked_texts(texts, own.select("class"), own.count()), "class").select("token", "low", "high", "block", "root", "text")
     return rows.groupBy("token", "low", "high").applyInArrow(_block, "u long, v long")
 
 
@@ -385,18 +430,20 @@ def _own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Edges u, v between the components of verified pairs: bitmaps refuse most others before texts move."""
 
-    def with_both(pairs: DataFrame, *columns: str) -> DataFrame:
+    def with_both(pairs: DataFrame, texts: DataFrame, *columns: str) -> DataFrame:
         for side in "ba":
             other = texts.select(F.col("class").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
             pairs = pairs.join(other, side)
         return pairs.select("a", "b", "ra", "rb", *[f"{c}_{side}" for c in columns for side in "ab"])
 
-    near = kept(with_both(pairs, "n", "bits").mapInArrow(_possible, "a long, b long, ra long, rb long"), "near")
-    return with_both(near, "text").mapInArrow(_verify, "u long, v long")
+    near = kept(with_both(pairs, texts, "n", "bits").mapInArrow(_possible, "a long, b long, ra long, rb long"), "near")
+    asked = near.select(F.explode(F.array("a", "b")).alias("class"))
+    return with_both(near, asked_texts(texts, asked, 2 * near.count()), "text").mapInArrow(_verify, "u long, v long")
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keyed(may, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _slices(batches):
+        batch = batch.filter(may(batch.column("place"))).select(["id", "text"])
         keys = pa.array(map(set_key, shingle_sets(_texts(batch))), pa.int64())
         yield pa.RecordBatch.from_arrays([*batch.columns, keys], names=["id", "text", "class"])
 
@@ -422,7 +469,10 @@ def _connected(docs: DataFrame, id_: str, text: str) -> tuple[DataFrame, DataFra
     roots = kept(postings.select("class").distinct().withColumn("root", F.col("class")), "roots")
     wanted = classes.join(roots, "class").select("id", "class")
     # By id and class: a repeated id may have many of both.
-    own = plain.mapInArrow(_keyed, "id long, text string, class long").join(wanted, ["id", "class"])
+    bits = BitTable(wanted.select("id"), roots.count())
+    may = bits.test()
+    own = plain.withColumn("place", bits.place("id")).mapInArrow(lambda it: _keyed(may, it), "id long, text string, class long")
+    own = own.join(wanted, ["id", "class"])
     texts = kept(own.select("class", "text").mapInArrow(_own_text, "class long, text string, n int, bits binary"), "texts")
 
     def merge(edges: DataFrame) -> bool:

@@ -1,11 +1,16 @@
+import glob
+import os
 import random
 import re
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from suturestar.llm import ngram_join as nj
 from suturestar.llm.components import components
+from suturestar.llm.frames import kept
 from suturestar.llm.shingles import shingle_sets
 
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -153,3 +158,52 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {x: top(x) for x in range(400) if top(x) != x}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_bit_tables_pass_all_that_is_wanted_and_few_others(spark):
+    wanted = spark.createDataFrame([(7 * i << 26,) for i in range(2000)], "id long")
+    bits = nj.BitTable(wanted, 2000)
+    places = spark.createDataFrame([(i << 26,) for i in range(14000)], "id long").select("id", bits.place("id").alias("at")).collect()
+    may = bits.test()(pa.array([p.at for p in places])).to_pylist()
+    passed = {p.id for p, m in zip(places, may) if m}
+    assert passed >= {r.id for r in wanted.collect()} and len(passed) < 3000
+    assert not any(nj.BitTable(wanted.limit(0), 0).test()(pa.array(range(100))).to_pylist())
+
+
+def test_only_texts_of_near_pairs_move(spark, monkeypatch):
+    """Texts that share shingles of their prefixes, but with nobody enough, are not sent to the verification."""
+    rng, rows, written = random.Random(4), [], {}
+    for i in range(200):
+        rows.append(" ".join(f"{'common' if k < 30 else f'w{i}'}x{k}" for k in range(100)))
+    rows += [" ".join(f"copy{j}x{k}" for k in range(100)) + f" end{n}" for j in range(3) for n in range(2)]
+    rng.shuffle(rows)
+    kept = nj.kept
+
+    def count(df, name):
+        out = kept(df, name)
+        written.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(nj, "kept", count)
+    rows = list(enumerate(rows))
+    got = nj.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == _brute(rows)
+    assert 6 <= max(written["asked"]) < 60
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    def files():
+        folders = (spark.conf.get("spark.local.dir", "/tmp"), os.environ.get("SPARK_LOCAL_DIRS", "/tmp"))
+        return {f for d in folders for f in glob.glob(f"{d}/**/blockmgr-*/*/shuffle_*.data", recursive=True)}
+
+    df = spark.range(50000).repartition(4, "id")
+    before = files()
+    df.collect()
+    assert files() - before
+    before = files()
+    written = kept(df, "rows")
+    end = time.time() + 20
+    while left := files() - before:
+        assert time.time() < end, left
+        time.sleep(0.2)
+    assert written.count() == 50000
