@@ -124,6 +124,20 @@ def asked_texts(texts: DataFrame, classes: DataFrame, count: int) -> DataFrame:
 # ---------------------------------------------------------------- step 1: sizes, keys, frequent shingles
 
 
+def repeated(values: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The values that occur `least` times or more, ascending, and how often each does.
+
+    Sorts `values` in place and holds little besides: np.unique takes several arrays of the same length.
+    """
+    values.sort()
+    n = max(0, len(values) - least + 1)
+    starts = values[:n] == values[least - 1 :]
+    starts[1:] &= values[1:n] != values[: max(0, n - 1)]
+    at = np.flatnonzero(starts)
+    found = values[at]
+    return found, np.searchsorted(values, found, "right") - at
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["kind", "id", "n", "key"]
     window: list[np.ndarray] = []
@@ -131,11 +145,12 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = 0
 
     def frequent() -> pa.RecordBatch:
-        token, count = np.unique(np.concatenate(window), return_counts=True)
-        often = count >= LEAST_LOCAL
-        token, count = token[often].view(np.int64), count[often].astype(np.int32)
+        values = np.concatenate(window)
+        window.clear()
+        token, count = repeated(values, LEAST_LOCAL)
         ones = pa.array(np.ones(len(token), np.int8))
-        return pa.RecordBatch.from_arrays([ones, pa.nulls(len(token), pa.int64()), pa.array(count), pa.array(token)], names=names)
+        columns = [ones, pa.nulls(len(token), pa.int64()), pa.array(count.astype(np.int32)), pa.array(token.view(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     for batch in _slices(batches):
         sets = shingle_sets(_texts(batch))
@@ -150,7 +165,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held += len(s)
         if held >= WINDOW_SHINGLES:
             yield frequent()
-            window, keys, held = [], set(), 0
+            keys, held = set(), 0
     if window:
         yield frequent()
 
@@ -449,14 +464,18 @@ def _keyed(may, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def class_key(text: Column) -> Column:
-    """The key of a text's shingle set, which equal sets share; 0 without words."""
+    """The key of a text's shingle set, which equal sets share; 0 without words.
+
+    Spark knows it as never null: a join on it would else test that first, by a second evaluation in another Python
+    worker of the task.
+    """
 
     @F.arrow_udf("long")
     def key(texts: pa.Array) -> pa.Array:
         rows = pa.RecordBatch.from_arrays([texts], names=["text"])
         return pa.array([set_key(s) for part in _slices([rows]) for s in shingle_sets(_texts(part))], pa.int64())
 
-    return key(text)
+    return F.coalesce(key(text), F.lit(0))
 
 
 def _connected(docs: DataFrame, id_: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -472,7 +491,9 @@ def _connected(docs: DataFrame, id_: str, text: str) -> tuple[DataFrame, DataFra
     bits = BitTable(wanted.select("id"), roots.count())
     may = bits.test()
     own = plain.withColumn("place", bits.place("id")).mapInArrow(lambda it: _keyed(may, it), "id long, text string, class long")
-    own = own.join(wanted, ["id", "class"])
+    # Shuffled also where `wanted` could be broadcast: that brings the rows of an id together, and a task that both
+    # keys rows and takes each class's own would hold two Python workers.
+    own = own.join(wanted.hint("merge"), ["id", "class"])
     texts = kept(own.select("class", "text").mapInArrow(_own_text, "class long, text string, n int, bits binary"), "texts")
 
     def merge(edges: DataFrame) -> bool:

@@ -3,6 +3,7 @@ import os
 import random
 import re
 import time
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -104,6 +105,42 @@ def test_odd_rows(spark, odd_documents):
     assert nj.near_duplicates(odd_documents.limit(0)).count() == 0
 
 
+def test_repeated_values_are_found_in_place():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 3, 4, 5, 40, 1000):
+        values = rng.integers(0, n // 3 + 1, n).astype(np.uint64)
+        token, count = np.unique(values, return_counts=True)
+        found, often = nj.repeated(values.copy(), 4)
+        assert found.tolist() == token[count >= 4].tolist() and often.tolist() == count[count >= 4].tolist()
+
+
+def test_frequent_shingles_are_counted_in_little_memory():
+    texts = [" ".join(f"w{i}x{k}" for k in range(3000)) for i in range(160)]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(160)), "text": texts})
+    sketch = nj._sketch(iter([batch]))
+    next(sketch)
+    tracemalloc.start()
+    list(sketch)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # All shingles once, as half of a sort of its own and the places that repeat.
+    assert peak < 2 * 8 * 160 * 2996
+
+
+def test_no_task_keys_rows_and_takes_the_own_ones(spark, monkeypatch):
+    """Both in one task would hold two Python workers, as after a broadcast of the classes asked for."""
+    plans, write = {}, nj.kept
+
+    def kept_(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(nj, "kept", kept_)
+    nj.near_duplicates(spark.createDataFrame(_corpus(random.Random(4), 5), "doc_id long, text string"))
+    own, keyed = (m.start() for m in re.finditer("MapInArrow", plans["texts"]))
+    assert re.findall(r"\w+Join|Exchange", plans["texts"][own:keyed]) == ["SortMergeJoin", "Exchange"]
+
+
 def test_prefixes_share_enough_at_the_threshold():
     rng = np.random.default_rng(5)
     tokens = np.sort(rng.integers(0, 2**64, 50, np.uint64))

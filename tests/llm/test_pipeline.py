@@ -102,5 +102,13 @@ def test_rows_of_one_id_are_duplicates_only_if_linked(spark, sf_dir):
     assert len(worded) == 2 and (1, b) in worded and {(1, a), (1, a + " iota")} & set(worded)
 
 
+def test_near_duplicates_key_texts_once(spark, sf_dir):
+    """A second evaluation takes a second Python worker of each task."""
+    rows = [(1, "alpha beta gamma delta epsilon zeta"), (2, "one two three four five six seven"), (3, "")]
+    df = cp.near_duplicate(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf_dir)
+    assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert df.count() == 3
+
+
 def test_run(spark, sf_dir, stages):
     assert _ids(cp.run(spark, sf_dir)) == _ids(stages["encoding"][1])
