@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from suturestar.llm.frames import kept
+from suturestar.llm.frames import discard, kept
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -35,5 +35,6 @@ def components(edges: DataFrame) -> DataFrame:
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen = state
-        now = kept(_small_star(_large_star(now)).distinct(), "edges")
+        seen, last = state, now
+        now = kept(_small_star(_large_star(last)).distinct(), "edges")
+        discard(last)

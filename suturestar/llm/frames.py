@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from suturestar.session import scratch
+from suturestar.sources.files import remove
 
 # Spark's setting that removes an execution's shuffle files at its end.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -43,6 +44,13 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that `kept` gave, when nothing reads them again."""
+    for t in tables:
+        for folder in {f.rpartition("/")[0] for f in t.inputFiles()}:
+            remove(t.sparkSession, folder)
+
+
 def once(value: Column, use) -> Column:
     """`use(v)` with `value` evaluated a single time, also where `use` needs it inside a lambda."""
     return F.transform(F.array(value), use)[0]

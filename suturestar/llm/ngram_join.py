@@ -11,14 +11,15 @@ Work per step, none of which lists all pairs of a group:
 
 1. one pass hashes all texts into (id, set size, set key) and the frequent shingles' counts.  Equal sets are one
    class from here on.
-2. one pass emits prefix postings of each class; those that no other class has are dropped.
+2. one pass emits prefix postings of one row of each class; those that no other class has are dropped.
 3. rounds: each of a share of the shingles names four leaders among its classes; every other class is verified against the leaders it
    shares enough postings with.  Links merge classes into components (connected components by star operations), and
    classes of one component no longer meet.  So thousands of near copies cost a few verifications each.
 4. when rounds no longer pay, all that is left across components is verified.  Shingles list their pairs across
    components if those are at most SMALL / 2 per posting.  Shingles of more (near misses by the thousand) compare
    blocks of BLOCK classes by one matrix product; any pair at the threshold shares a shingle of its shortest prefixes, so
-   blocks are needed for those only.  Nothing is capped: every pair at or above the threshold is verified or
+   blocks are needed for those only.  A text goes to each block that it meets, which grows with the square of a shingle's
+   classes, so blocks take turns: the disk holds about as many texts as there are.  Nothing is capped: every pair at or above the threshold is verified or
    already connected, hence the components are exact (but for 64-bit hash collisions).
 
 Counts of frequent shingles and the bound on their number (FREQUENT, broadcast) change only the order, never results.
@@ -33,6 +34,7 @@ Ids identify documents: rows that repeat an id are answered each.  Extra columns
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from suturestar.llm.components import components
-from suturestar.llm.frames import kept, read
+from suturestar.llm.frames import discard, kept, read
 from suturestar.llm.shingles import set_key, shingle_sets
 
 PERCENT = 80
@@ -60,6 +62,8 @@ SKETCH = "kind byte, id long, n int, key long"
 POSTING = "token long, class long, n int, m byte, first boolean, frequent boolean"
 SMALL = 32
 BLOCK = 1024
+# The least texts that a turn of blocks sends.
+LEAST_SENT = 1 << 16
 COLUMNS = 4096
 PAYS = 0.7
 # Bits of a table for each value it holds, the most bits of one, and those of one value of bitmap_construct_agg.
@@ -95,7 +99,7 @@ class BitTable:
             table[p.part * BITMAP // 8 :][: BITMAP // 8] = np.frombuffer(p.bits, np.uint8)
         self.sent = wanted.sparkSession.sparkContext.broadcast(table)
 
-    def place(self, column: str) -> Column:
+    def place(self, column: str | Column) -> Column:
         return F.xxhash64(column).bitwiseAND(F.lit(self.size - 1))
 
     def test(self):
@@ -109,16 +113,21 @@ class BitTable:
         return may
 
 
-def asked_texts(texts: DataFrame, classes: DataFrame, count: int) -> DataFrame:
-    """The texts of the classes, and few others; written, so that no task has a second Python worker for the test."""
-    bits = BitTable(classes, count)
+def maybe_in(values: DataFrame, count: int, value: Column) -> Column:
+    """Whether a value may be in the only column of `values`, which are at most `count`; true for null."""
+    bits = BitTable(values, count)
     test = bits.test()
 
     @F.arrow_udf("boolean")
     def may(places: pa.Array) -> pa.Array:
         return test(places)
 
-    return kept(texts.select("class", "text").filter(may(bits.place("class"))), "asked")
+    return value.isNull() | may(bits.place(value))
+
+
+def asked_texts(texts: DataFrame, classes: DataFrame, count: int) -> DataFrame:
+    """The texts of the classes, and few others; written, so that no task has a second Python worker for the test."""
+    return kept(texts.select("class", "text").filter(maybe_in(classes, count, F.col("class"))), "asked")
 
 
 # ---------------------------------------------------------------- step 1: sizes, keys, frequent shingles
@@ -192,10 +201,11 @@ def prefix(s: np.ndarray, tokens: np.ndarray, counts: np.ndarray) -> tuple[np.nd
     return s[order], often[order], best
 
 
-def _postings(frequent, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _postings(frequent, may, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tokens, counts = frequent
     done: set[int] = set()
     for batch in _slices(batches):
+        batch = batch.filter(may(batch.column("place")))
         token, often, key, n, m, first = [], [], [], [], [], []
         for s in shingle_sets(_texts(batch)):
             k = set_key(s)
@@ -218,14 +228,21 @@ def _postings(frequent, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
 
 
 def shared_postings(docs: DataFrame, sketch: DataFrame) -> DataFrame:
-    """Prefix postings whose shingle more than one class has in its prefix."""
+    """Prefix postings whose shingle more than one class has in its prefix, each once.
+
+    Of a class's rows only those with its smallest id are asked for, so copies cost no postings.
+    """
     spark = docs.sparkSession
+    worded = sketch.filter("kind = 0 AND n > 0 AND id IS NOT NULL")
+    bits = BitTable(worded.groupBy("key").agg(F.min("id").alias("id")).select("id"), worded.count())
+    may = bits.test()
     counts = sketch.filter("kind = 1").groupBy("key").agg(F.sum("n").alias("n"))
     top = counts.orderBy(F.desc("n"), "key").limit(FREQUENT).toPandas()
     tokens, loads = top["key"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.float64)
     order = np.argsort(tokens)
     sent = spark.sparkContext.broadcast((tokens[order], loads[order]))
-    postings = docs.filter("id IS NOT NULL").select("text").mapInArrow(lambda it: _postings(sent.value, it), POSTING)
+    asked = docs.filter("id IS NOT NULL").select("text", bits.place("id").alias("place"))
+    postings = asked.mapInArrow(lambda it: _postings(sent.value, may, it), POSTING)
     # Frequent shingles are known to be shared; spread by class, they load no task.
     where = F.when(F.col("frequent"), F.xxhash64("token", "class")).otherwise(F.col("token"))
     grouped = postings.withColumn("where", where)
@@ -233,6 +250,8 @@ def shared_postings(docs: DataFrame, sketch: DataFrame) -> DataFrame:
     # The fewest matches that any class of the shingle asks for; those of frequent shingles are not together, so one.
     fewest = F.expr("IF(frequent, 1Y, min(m) OVER (PARTITION BY where))")
     shared = grouped.withColumn("shared", window).withColumn("fewest", fewest).filter("frequent OR shared")
+    # Rows that repeat an id, and few others, have brought a class's postings twice.
+    shared = shared.repartition("class").dropDuplicates(["class", "token"])
     # A pair asks for the smaller m of its two classes.  A class with fewer shared postings than any class it shares
     # one with asks for, itself included, can meet nobody.
     needed = F.expr("min(fewest) OVER (PARTITION BY class)")
@@ -356,14 +375,24 @@ def _block(group: pa.Table) -> pa.Table:
 
 
 def block_links(many: DataFrame, texts: DataFrame) -> DataFrame:
-    """Edges between components that classes of the many-class shingles link."""
+    """Edges between components that classes of the many-class shingles link, written.
+
+    Pairs of blocks take turns, each of which sends about as many texts as there are.
+    """
     blocks = F.ceil(F.col("k") / BLOCK).cast("int")
     own = many.filter("first").select("token", "class", "root", blocks.alias("blocks"))
     own = own.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     sent = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     sent = sent.select("token", "class", "root", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    rows = sent.join(asked_texts(texts, own.select("class"), own.count()), "class").select("token", "low", "high", "block", "root", "text")
-    return rows.groupBy("token", "low", "high").applyInArrow(_block, "u long, v long")
+    held, copies = own.agg(F.count(F.lit(1)), F.sum("blocks")).first()
+    asked = asked_texts(texts, own.select("class"), held)
+    turns = max(1, -(-(copies or 0) // max(LEAST_SENT, texts.count())))
+    turn, edges = F.pmod(F.xxhash64("token", "low", "high"), F.lit(turns)), []
+    for t in range(turns):
+        rows = sent.filter(turn == t).join(asked, "class").select("token", "low", "high", "block", "root", "text")
+        edges.append(kept(rows.groupBy("token", "low", "high").applyInArrow(_block, "u long, v long"), "links"))
+    discard(asked)
+    return reduce(DataFrame.unionByName, edges)
 
 
 def _pairs_across(postings: DataFrame) -> float:
@@ -443,7 +472,7 @@ def _own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Edges u, v between the components of verified pairs: bitmaps refuse most others before texts move."""
+    """Edges u, v between the components of verified pairs, written: bitmaps refuse most others before texts move."""
 
     def with_both(pairs: DataFrame, texts: DataFrame, *columns: str) -> DataFrame:
         for side in "ba":
@@ -453,7 +482,10 @@ def links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     near = kept(with_both(pairs, texts, "n", "bits").mapInArrow(_possible, "a long, b long, ra long, rb long"), "near")
     asked = near.select(F.explode(F.array("a", "b")).alias("class"))
-    return with_both(near, asked_texts(texts, asked, 2 * near.count()), "text").mapInArrow(_verify, "u long, v long")
+    asked = asked_texts(texts, asked, 2 * near.count())
+    found = kept(with_both(near, asked, "text").mapInArrow(_verify, "u long, v long"), "links")
+    discard(near, asked)
+    return found
 
 
 def _keyed(may, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -479,7 +511,10 @@ def class_key(text: Column) -> Column:
 
 
 def _connected(docs: DataFrame, id_: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """Every row's id, n and class; and every class with words, its smallest id and its component's root."""
+    """Every row's id, n and class; and every class with words, its smallest id and its component's root.
+
+    What else is written on the way is removed.
+    """
     plain = docs.select(F.col(id_).cast("long").alias("id"), F.col(text).alias("text"))
     sketch = kept(plain.mapInArrow(_sketch, SKETCH), "shingles")
     sets = sketch.filter("kind = 0").select("id", "n", F.col("key").alias("class"))
@@ -499,11 +534,14 @@ def _connected(docs: DataFrame, id_: str, text: str) -> tuple[DataFrame, DataFra
     def merge(edges: DataFrame) -> bool:
         """Merge components along the edges; whether there were any."""
         nonlocal roots
-        found = kept(components(edges), "merged").select(F.col("node").alias("root"), F.col("root").alias("to"))
+        stars = components(edges)
+        found = kept(stars, "merged").select(F.col("node").alias("root"), F.col("root").alias("to"))
+        discard(stars, edges)
         if found.isEmpty():
             return False
-        moved = roots.join(found, "root", "left")
+        moved, last = roots.join(found, "root", "left"), roots
         roots = kept(moved.select("class", F.coalesce("to", "root").alias("root")), "roots")
+        discard(found, last)
         return True
 
     def share(turn: int) -> DataFrame:
@@ -512,12 +550,17 @@ def _connected(docs: DataFrame, id_: str, text: str) -> tuple[DataFrame, DataFra
 
     total, turn, across = postings.count(), 0, SHARE * _pairs_across(share(0))
     while across > max(total, 10_000):
-        merged = merge(links(kept(leader_pairs(share(turn), turn), "pairs"), texts))
+        pairs = kept(leader_pairs(share(turn), turn), "pairs")
+        merged = merge(links(pairs, texts))
+        discard(pairs)
         before, across, turn = across, SHARE * _pairs_across(share(turn)), turn + 1
         if not merged or across > PAYS * before:
             break
     few, many = open_postings(postings.join(roots, "class"))
-    merge(links(kept(pairs_left(few, many), "pairs"), texts).unionByName(block_links(many, texts)))
+    discard(postings)
+    pairs = kept(pairs_left(few, many), "pairs")
+    merge(links(pairs, texts).unionByName(block_links(many, texts)))
+    discard(few, pairs, texts)
 
     return sets, classes.join(roots, "class", "left").select("class", "id", F.coalesce("root", "class").alias("root"))
 

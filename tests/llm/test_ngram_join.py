@@ -244,3 +244,50 @@ def test_a_written_table_leaves_no_shuffle_files(spark):
         assert time.time() < end, left
         time.sleep(0.2)
     assert written.count() == 50000
+
+
+def _written(monkeypatch, module, look):
+    """What `look` gives for every table that the module writes, by name."""
+    seen, write = {}, module.kept
+
+    def kept_(df, name):
+        out = write(df, name)
+        seen.setdefault(name, []).append(look(out))
+        return out
+
+    monkeypatch.setattr(module, "kept", kept_)
+    return seen
+
+
+def test_copies_of_rows_cost_no_postings(spark, monkeypatch):
+    """Copies under other ids lie in other tasks, each of which would send the same postings."""
+    seen = _written(monkeypatch, nj, lambda df: (df.count(), df.select("token", "class").distinct().count()) if "token" in df.columns else None)
+    base = [(i, t) for i, t in _corpus(random.Random(11), 30) if i is not None]
+    rows = [(i + k * 1000, t) for k in range(6) for i, t in base] + base[:20]
+    got = nj.near_duplicates(spark.createDataFrame(spark.sparkContext.parallelize(rows, 7), "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == _brute(rows[: 6 * len(base)])
+    (count, distinct), *_ = seen["postings"]
+    assert count == distinct > 0
+
+
+def test_blocks_take_turns(spark, monkeypatch):
+    """A shingle of many classes sends each text to every block it meets; a turn sends some of them."""
+    monkeypatch.setattr(nj, "SMALL", 3)
+    monkeypatch.setattr(nj, "BLOCK", 8)
+    monkeypatch.setattr(nj, "_pairs_across", lambda p: 0)
+    monkeypatch.setattr(nj, "LEAST_SENT", 40)
+    seen = _written(monkeypatch, nj, lambda df: df.count())
+    rows = [r for r in _corpus(random.Random(3), 60) if r[0] is not None]
+    got = nj.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == _brute(rows)
+    assert len(seen["links"]) > 3
+
+
+def test_tables_on_the_way_are_removed(spark):
+    folder = f"{spark.conf.get('spark.checkpoint.dir')}/suturestar"
+    before = set(glob.glob(f"{folder}/*"))
+    rows = _corpus(random.Random(5), 40)
+    got = nj.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    left = {os.path.basename(p).split("-")[0] for p in set(glob.glob(f"{folder}/*")) - before if glob.glob(f"{p}/*.parquet")}
+    assert left <= {"shingles", "roots", "merged"} and got.count() == len(rows)
