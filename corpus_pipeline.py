@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from suturestar.llm import pii
 from suturestar.llm.bpe import encoded
 from suturestar.llm.decontaminate import decontaminated
-from suturestar.llm.frames import fresh, importable, read
-from suturestar.llm.ngram_join import class_key, first_classes
+from suturestar.llm.frames import discard, fresh, importable, kept, read
+from suturestar.llm.ngram_join import class_key, first_classes, maybe_in
 from suturestar.llm.quality import KEEP, fit, scored
 from suturestar.session import scratch
 
@@ -41,15 +41,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose id is first and in doubt are keyed and compared with the first classes; those not in doubt stay as they are."""
     importable(spark)
     place, key = fresh("place"), fresh("class")
-    firsts = first_classes(docs).withColumnRenamed("class", key)
+    firsts, doubtful = first_classes(docs)
+    id_ = F.col("doc_id").cast("long")
+    doubt, first = (maybe_in(ids, ids.count(), id_) for ids in (doubtful, firsts.select("doc_id")))
     has_words = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
-    keyed = docs.filter(F.col("doc_id").isNotNull() & has_words).withColumn(key, class_key(F.col("text")))
+    worded = docs.filter(F.col("doc_id").isNotNull() & has_words)
+    unsure = kept(worded.filter(doubt & first), "unsure")
+    keyed = unsure.withColumn(key, class_key(F.col("text")))
     one = F.row_number().over(Window.partitionBy("doc_id", key).orderBy("text"))
-    kept = keyed.withColumn(place, one).filter(F.col(place) == 1).join(firsts, ["doc_id", key])
+    best = keyed.withColumn(place, one).filter(F.col(place) == 1).join(firsts.withColumnRenamed("class", key), ["doc_id", key])
+    stay = kept(best.select(*docs.columns), "stay")
+    discard(firsts, doubtful, unsure)
     wordless = docs.filter(F.col("doc_id").isNotNull() & ~has_words).dropDuplicates(["doc_id", "text"])
-    return kept.select(*docs.columns).unionByName(wordless).unionByName(docs.filter("doc_id IS NULL"))
+    return worded.filter(~doubt).unionByName(stay).unionByName(wordless).unionByName(docs.filter("doc_id IS NULL"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -565,11 +565,18 @@ def _connected(docs: DataFrame, id_: str, text: str) -> tuple[DataFrame, DataFra
     return sets, classes.join(roots, "class", "left").select("class", "id", F.coalesce("root", "class").alias("root"))
 
 
-def first_classes(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> DataFrame:
-    """For every component the smallest id and, of its classes with that id, the one with the smallest key."""
-    _, reached = _connected(docs, id_, text)
+def first_classes(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """For every component the smallest id and, of its classes with that id, the one with the smallest key; and the ids
+    that this leaves in doubt: those of several rows with words, or of none that is first.  Both are written.
+    """
+    sets, reached = _connected(docs, id_, text)
     best = reached.groupBy("root").agg(F.min(F.struct("id", "class")).alias("best"))
-    return best.select(F.col("best.id").alias(id_), F.col("best.class").alias("class"))
+    firsts = kept(best.select(F.col("best.id").alias("id"), F.col("best.class").alias("class")), "firsts")
+    rows = sets.filter("n > 0 AND id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("rows"))
+    named = firsts.select("id", F.lit(True).alias("first")).distinct()
+    doubtful = kept(rows.join(named, "id", "left").filter("rows > 1 OR first IS NULL").select("id"), "doubtful")
+    discard(sets, reached)
+    return firsts.withColumnRenamed("id", id_), doubtful
 
 
 def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> DataFrame:

@@ -112,3 +112,20 @@ def test_near_duplicates_key_texts_once(spark, sf_dir):
 
 def test_run(spark, sf_dir, stages):
     assert _ids(cp.run(spark, sf_dir)) == _ids(stages["encoding"][1])
+
+
+def test_only_rows_in_doubt_are_keyed_and_moved(spark, sf_dir, monkeypatch):
+    """Rows that surely stay, and copies that surely go, are not compared with the first classes."""
+    written, write = {}, cp.kept
+
+    def kept(df, name):
+        out = write(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(cp, "kept", kept)
+    base = [(i, f"one{i} two{i} three{i} four{i} five{i} six{i}") for i in range(300)]
+    rows = base + [(i + 1000, t) for i, t in base] + base[:5]
+    got = cp.near_duplicate(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf_dir).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == base
+    assert 5 <= written["stay"] < 40 and 10 <= written["unsure"] < 60
