@@ -199,6 +199,6 @@ def telemetry_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
+def write_documents(spark: SparkSession, sf_dir: str, path: str, **options) -> None:
     """NDJSON files below the `telemetry/` prefix; NULL fields are left out."""
-    telemetry_documents(spark, sf_dir).drop("event_id").write.json(f"{path}/telemetry")
+    telemetry_documents(spark, sf_dir).drop("event_id").write.options(**options).json(f"{path}/telemetry")

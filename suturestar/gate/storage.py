@@ -16,12 +16,15 @@ from suturestar.gate import tables
 from suturestar.plans import etl, load, lookups, reports, views
 from suturestar.plans.telemetry import STAGE_COLUMNS, flatten_telemetry
 from suturestar.schemas import TELEMETRY_STAGE_DDL, UNKNOWN_KEY, conform
-from suturestar.session import scratch
+from suturestar.session import brief_shuffles, scratch
 from suturestar.sources import raw, readers, writers
+from suturestar.sources.files import remove
 from suturestar.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 ALL_TIME = (date(1900, 1, 1), date(2100, 1, 1))
+# Compressed files cannot be split, so they hold few documents.
+SMALL_FILES = {"compression": "gzip", "maxRecordsPerFile": 250_000}
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,11 +271,19 @@ def loaded_star(spark: SparkSession, sf_dir: str):
     """The star that a full load of the operational tables has written, read back; loaded once a session."""
     at = (spark.sparkContext.applicationId, sf_dir)
     if at not in _stars:
-        root = scratch(spark, "star")
+        root, source = scratch(spark, "star"), scratch(spark, "source")
         t = op.OperationalTables(spark, sf_dir).all()
+        with brief_shuffles(spark):
+            # Built from lineitem, and read by several steps.
+            for name in ("surgical_procedures", "procedure_outcomes"):
+                t[name].write.parquet(f"{source}/{name}")
+                t[name] = spark.read.parquet(f"{source}/{name}")
+        op.write_documents(spark, sf_dir, source, **SMALL_FILES)
+        documents = readers.read_telemetry(spark, f"{source}/telemetry")
         report = load.run_pipeline(
-            spark, t, root, "full", *ALL_TIME, as_of=tables.AS_OF, telemetry=telemetry(spark, sf_dir), now=tables.LOAD_TIME
+            spark, t, root, "full", *ALL_TIME, as_of=tables.AS_OF, telemetry=documents, now=tables.LOAD_TIME
         )
+        remove(spark, source)
         problem = report.filter("status = 'FAILED'").first()
         if problem is not None:
             raise RuntimeError(problem.message)

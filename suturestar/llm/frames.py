@@ -12,12 +12,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from suturestar.session import scratch
+from suturestar.session import brief_shuffles, scratch
 from suturestar.sources.files import remove
 
-# Spark's setting that removes an execution's shuffle files at its end.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -35,12 +32,8 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with brief_shuffles(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

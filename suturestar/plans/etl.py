@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -185,13 +186,15 @@ def extract_procedures(
     )
 
 
-def stage_facts(stage: DataFrame, star: Star, existing: DataFrame) -> tuple[DataFrame, DataFrame]:
+def stage_facts(
+    stage: DataFrame, star: Star, existing: DataFrame, cut: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> tuple[DataFrame, DataFrame]:
     """(new fact rows with dimension keys, the rejects among them).
 
     What the fact holds already is dropped first, so a repeated load sorts nothing, then copies within the batch; then
-    keys are looked up.
+    keys are looked up.  `cut` may write the new rows down before that.
     """
-    fresh = greatest_per_key(only_new(stage, existing, ["procedure_id"]), ["procedure_id"])
+    fresh = cut(greatest_per_key(only_new(stage, existing, ["procedure_id"]), ["procedure_id"]))
     return resolve_keys(
         fresh,
         {

@@ -15,6 +15,7 @@ from suturestar.plans import dims, etl
 from suturestar.plans.star import Star
 from suturestar.plans.telemetry import not_held, split_tagged, tag_telemetry, with_procedure
 from suturestar.schemas import TELEMETRY_STAGE, conform, nullable, schema_of
+from suturestar.session import brief_shuffles
 from suturestar.sources import ledger, snapshots, waiting, writers
 from suturestar.sources.buckets import bucket_of, read_bucketed
 from suturestar.sources.files import exists, remove
@@ -148,6 +149,25 @@ def load_dimensions(
     return [(stage, SUCCESS, inserted, closed, 0, "") for stage, inserted, closed in report]
 
 
+def _cuts(spark: SparkSession, folder: str) -> Callable[[DataFrame], DataFrame]:
+    """Writes rows below `folder` and reads them back; what it wrote before is removed.
+
+    The shuffle files of an execution lie on disk until its end: in pieces a load holds those of one step.
+    """
+    written: list[str] = []
+
+    def cut(rows: DataFrame) -> DataFrame:
+        path = f"{folder}/{len(written)}"
+        with brief_shuffles(spark):
+            rows.write.parquet(path)
+        if written:
+            remove(spark, written[-1])
+        written.append(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
+    return cut
+
+
 def load_procedures(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],
@@ -165,15 +185,15 @@ def load_procedures(
         tables["surgical_procedures"], tables["surgical_robots"], tables["procedure_outcomes"], start, end
     )
     path, staged = f"{root}/{PROCEDURES}", f"{root}/staged_procedures/{uuid.uuid4().hex}"
+    cut = _cuts(spark, staged)
     with ledger.writing(spark, root, PROCEDURES) as held:
         existing = read_table(spark, root, PROCEDURES)
         if exists(spark, path):
             # What the fact holds is found by the stage's ids and then taken from the stage: two reads of one extract.
-            stage.write.parquet(staged)
-            stage = spark.read.parquet(staged)
-        keyed, _ = etl.stage_facts(stage, load_star(spark, root), existing)
+            stage = cut(stage)
+        keyed, _ = etl.stage_facts(stage, load_star(spark, root), existing, cut)
         first = _first_key(held, existing, "procedure_key")
-        numbered = add_sparse_keys(keyed, "procedure_key", ["procedure_id"], start=first)
+        numbered = cut(add_sparse_keys(cut(keyed), "procedure_key", ["procedure_id"], start=first))
         unknown = (F.col("robot_key") < 0) | (F.col("surgeon_key") < 0) | (F.col("facility_key") < 0)
         seen = Observation(PROCEDURES)
         counts = (F.count(F.lit(1)).alias("inserted"), F.count_if(unknown).alias("rejected"), F.max("procedure_key").alias("top"))
@@ -318,7 +338,8 @@ def run_pipeline(
     report, status = [], SUCCESS
     for name, run, on_error in stages:
         try:
-            report += run()
+            with brief_shuffles(spark):
+                report += run()
         except Exception as e:  # noqa: BLE001 - the report carries it
             report.append((name, "FAILED", 0, 0, 0, str(e)))
             status = on_error

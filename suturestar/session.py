@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -18,6 +20,9 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# Spark's setting that removes an execution's shuffle files at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(app: str = "suturestar", master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -28,6 +33,17 @@ def build_session(app: str = "suturestar", master: str | None = None, **settings
     return builder.getOrCreate()
 
 
+@contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs in here go with each execution instead of when the driver collects garbage."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 @cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="suturestar-")

@@ -70,14 +70,14 @@ def telemetry_options(multi_line: bool = False) -> dict[str, str]:
     return {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": CORRUPT,
-        "pathGlobFilter": "*.json",
+        "pathGlobFilter": "*.{json,json.gz}",
         "recursiveFileLookup": "true",
         "multiLine": str(multi_line).lower(),
     }
 
 
 def read_telemetry(spark: SparkSession, *paths: str, multi_line: bool = False) -> DataFrame:
-    """Telemetry documents from `.json` files: one object, one array or one record per line.
+    """Telemetry documents from `.json` or `.json.gz` files: one object, one array or one record per line.
 
     A record that does not parse keeps its text in `_corrupt`; the rest of its file is read.  Files that
     hold one document over several lines need `multi_line=True`, which gives up splitting files.

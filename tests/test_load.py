@@ -1,5 +1,8 @@
 """The whole load on hand-made operational tables, CSV sources included."""
 
+import glob
+import os
+import time
 from datetime import date, datetime
 
 import pytest
@@ -233,3 +236,33 @@ def test_a_repeated_load_extracts_once_and_leaves_nothing_staged(spark, tables,
     assert load.read_table(spark, root, load.PROCEDURES).count() == 3
     assert not list((tmp_path / "staged_procedures").iterdir())
     assert load.ledger.last(spark, root, load.PROCEDURES)["rows"] == 3
+
+
+def test_a_load_holds_the_shuffle_files_of_one_step(spark, tables, tmp_path, monkeypatch):
+    """New rows, their keys and their numbers are written down in turn, and no step's shuffle files stay."""
+
+    def files():
+        folders = (spark.conf.get("spark.local.dir", "/tmp"), os.environ.get("SPARK_LOCAL_DIRS", "/tmp"))
+        return {f for d in folders for f in glob.glob(f"{d}/**/blockmgr-*/*/shuffle_*.data", recursive=True)}
+
+    read, append = [], load.writers.append_fact
+    monkeypatch.setattr(load.writers, "append_fact", lambda table, rows, *rest: read.append(rows.inputFiles()) or append(table, rows, *rest))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    before = files()
+    try:
+        report = load.run_pipeline(spark, tables, str(tmp_path), "full", *WINDOW, as_of=date(2024, 6, 1), now=NOW)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert read[0] and all("/staged_procedures/" in f for f in read[0])
+    end = time.time() + 20
+    while left := files() - before:
+        assert time.time() < end, left
+        time.sleep(0.2)
+    assert {r.status for r in report.collect()} == {"SUCCESS"} and load.read_table(spark, str(tmp_path), load.PROCEDURES).count() == 3
+
+
+def test_compressed_documents_are_read(spark, tmp_path):
+    for options in ({}, {"compression": "gzip"}):
+        spark.createDataFrame([("p1", "2024-05-01T10:00:00")], "procedure_id string, timestamp string").write.mode("append").options(**options).json(str(tmp_path))
+    assert [r.procedure_id for r in readers.read_telemetry(spark, str(tmp_path)).collect()] == ["p1", "p1"]
